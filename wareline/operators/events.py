@@ -20,7 +20,9 @@ from wareline.schema import (
     PRODUCT_SCHEMA,
     RECEIPT_SCHEMA,
     VERSION_SCHEMA,
+    empty_table,
 )
+from wareline.session import written
 
 # The identifier pattern and the length limits of an event.
 IDENTIFIER = r"^[A-Za-z0-9_-]+$"
@@ -89,6 +91,11 @@ def _extra_keys(keys: Column, allowed: list[str]) -> Column:
     return F.size(F.array_except(keys, F.array(*[F.lit(k) for k in allowed]))) > 0
 
 
+# The parser ignores what follows a complete value, so each line is parsed as
+# the only element of an array, where anything behind it shows.
+_ROOT, _BEHIND = "$[0]", "$[1]"
+
+
 def parse_events(lines: DataFrame) -> DataFrame:
     """Validate JSON lines ``(ord, value)`` against the closed event schema.
 
@@ -99,28 +106,28 @@ def parse_events(lines: DataFrame) -> DataFrame:
     fields = PAYLOAD_SCHEMA.fieldNames()
     raw = (
         lines.where(X.strip(F.col("value")) != "")
-        .withColumn("_doc", F.try_parse_json("value"))
+        .withColumn("_doc", F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]"))))
         .withColumn("_payload", F.get_json_object("value", "$.product"))
     )
     typed = raw.withColumns(
         {
-            "event_id": _text(doc, "$.event_id"),
-            "product_id": _text(doc, "$.product_id"),
-            "version": _strict_int(doc, "$.version"),
+            "event_id": _text(doc, f"{_ROOT}.event_id"),
+            "product_id": _text(doc, f"{_ROOT}.product_id"),
+            "version": _strict_int(doc, f"{_ROOT}.version"),
             "operation": F.when(
-                _kind(doc, "$.operation") == "STRING",
-                F.try_variant_get(doc, "$.operation", "string"),
+                _kind(doc, f"{_ROOT}.operation") == "STRING",
+                F.try_variant_get(doc, f"{_ROOT}.operation", "string"),
             ),
             "product": F.when(
-                ~_unset(_kind(doc, "$.product")),
+                ~_unset(_kind(doc, f"{_ROOT}.product")),
                 F.struct(
                     *[
                         (
-                            _strict_int(doc, f"$.product.{name}")
+                            _strict_int(doc, f"{_ROOT}.product.{name}")
                             if name == "rating_count"
-                            else _lax_number(doc, f"$.product.{name}")
+                            else _lax_number(doc, f"{_ROOT}.product.{name}")
                             if name in NUMBER_LIMIT
-                            else _text(doc, f"$.product.{name}")
+                            else _text(doc, f"{_ROOT}.product.{name}")
                         ).alias(name)
                         for name in fields
                     ]
@@ -130,9 +137,9 @@ def parse_events(lines: DataFrame) -> DataFrame:
                 F.array_contains(F.json_object_keys("value"), "stock_quantity"),
                 F.lit(False),
             ),
-            "stock_quantity": _strict_int(doc, "$.stock_quantity"),
-            "_has_product": ~_unset(_kind(doc, "$.product")),
-            "_has_stock": ~_unset(_kind(doc, "$.stock_quantity")),
+            "stock_quantity": _strict_int(doc, f"{_ROOT}.stock_quantity"),
+            "_has_product": ~_unset(_kind(doc, f"{_ROOT}.product")),
+            "_has_stock": ~_unset(_kind(doc, f"{_ROOT}.stock_quantity")),
         }
     )
 
@@ -144,7 +151,11 @@ def parse_events(lines: DataFrame) -> DataFrame:
 
     is_upsert = F.col("operation") == "upsert"
     rules = [
-        ("not a JSON object", doc.isNull() | ~_kind(doc, "$").startswith("OBJECT")),
+        (
+            "not a JSON object",
+            ~F.coalesce(_kind(doc, _ROOT).startswith("OBJECT"), F.lit(False))
+            | _kind(doc, _BEHIND).isNotNull(),
+        ),
         ("unknown field", _extra_keys(F.json_object_keys("value"), EVENT_FIELDS)),
         ("event_id", bad_id("event_id")),
         ("product_id", bad_id("product_id")),
@@ -160,13 +171,13 @@ def parse_events(lines: DataFrame) -> DataFrame:
         ),
         (
             "product",
-            F.col("_has_product") & ~_kind(doc, "$.product").startswith("OBJECT"),
+            F.col("_has_product") & ~_kind(doc, f"{_ROOT}.product").startswith("OBJECT"),
         ),
         ("unknown product field", _extra_keys(F.json_object_keys(payload), fields)),
     ]
     for name in fields:
         value = F.col("product").getField(name)
-        given = ~_unset(_kind(doc, f"$.product.{name}"))
+        given = ~_unset(_kind(doc, f"{_ROOT}.product.{name}"))
         if name in TEXT_LENGTH:
             broken = given & (value.isNull() | (F.length(value) > TEXT_LENGTH[name]))
             if name == "product_name":
@@ -248,7 +259,7 @@ class CatalogState:
     def empty(spark) -> "CatalogState":
         return CatalogState(
             *[
-                spark.createDataFrame([], schema)
+                empty_table(spark, schema)
                 for schema in (
                     PRODUCT_SCHEMA, INVENTORY_SCHEMA, VERSION_SCHEMA, RECEIPT_SCHEMA,
                 )
@@ -375,11 +386,16 @@ def resolve_events(
 ) -> Resolution:
     """Apply a batch of valid events, in ``ord`` order, to a state.
 
-    ``events.ord`` must be unique within the batch and not negative.
+    ``events.ord`` must be unique within the batch and not negative. Every
+    step reads its input more than once, so each is written to the shared
+    folder once instead of being computed again by every reader.
     """
-    classified = classify(events, state)
-    numbered = running_total(
-        row_changes(classified, state), "ord", F.size("ops"), "rows_before"
+    classified = written(classify(events, state), "classified")
+    numbered = written(
+        running_total(
+            row_changes(classified, state), "ord", F.size("ops"), "rows_before"
+        ),
+        "numbered",
     )
     return assemble(numbered, state, changed_at)
 

@@ -1,6 +1,6 @@
 """Jobs assembled from the operators, and the registered queries."""
 
 from wareline.plans.registry import ORACLES, QUERIES
-from wareline.plans import catalog_queries  # noqa: F401
+from wareline.plans import catalog_queries, event_queries, text_queries  # noqa: F401
 
 __all__ = ["ORACLES", "QUERIES"]

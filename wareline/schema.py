@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 # The product columns, in storage order.
 PRODUCT_COLUMNS = [
@@ -106,3 +106,12 @@ def require_columns(df: DataFrame, names=PRODUCT_COLUMNS) -> DataFrame:
     if missing:
         raise ValueError(f"Missing columns: {missing}")
     return df
+
+
+def empty_table(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """A relation the optimizer knows to be empty, so joins with it vanish."""
+    return (
+        spark.range(0)
+        .where(F.lit(False))
+        .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+    )
