@@ -1,6 +1,11 @@
 """Jobs assembled from the operators, and the registered queries."""
 
 from wareline.plans.registry import ORACLES, QUERIES
-from wareline.plans import catalog_queries, event_queries, text_queries  # noqa: F401
+from wareline.plans import (  # noqa: F401
+    catalog_queries,
+    event_queries,
+    model_queries,
+    text_queries,
+)
 
 __all__ = ["ORACLES", "QUERIES"]
