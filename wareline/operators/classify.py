@@ -145,7 +145,6 @@ def _fit_one(rows: DataFrame, strength: float, total: int) -> LogisticRegression
         elasticNetParam=0.0,
         standardization=False,
         maxIter=1000,
-        tol=1e-8,
     ).fit(rows)
 
 

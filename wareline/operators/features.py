@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 from pyspark.ml.feature import (
@@ -11,6 +12,7 @@ from pyspark.ml.feature import (
     ElementwiseProduct,
     NGram,
     Normalizer,
+    StopWordsRemover,
 )
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, functions as F
@@ -22,7 +24,18 @@ MAX_FEATURES = 20000
 # Stands in for an empty vocabulary; no token can equal it.
 _NEVER = "\x00"
 COUNTS = "_counts"
-_WORDS, _PAIRS, _TERMS, _SCALED = "_words", "_pairs", "_terms", "_scaled"
+_ALL, _WORDS, _PAIRS = "_all", "_words", "_pairs"
+_TERMS, _SCALED = "_terms", "_scaled"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core when the input has fewer files than there are cores.
+
+    Cutting text into terms is the expensive part; with as many files as
+    cores, which is the case for any large input, nothing is moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
 
 
 def add_terms(df: DataFrame, text: Column, stop_words=()) -> DataFrame:
@@ -30,14 +43,15 @@ def add_terms(df: DataFrame, text: Column, stop_words=()) -> DataFrame:
 
     Stop words go before the pairs are formed.
     """
-    found = X.words(X.fold_accents(text))
+    found = F.coalesce(X.words(X.fold_accents(text)), F.array().cast("array<string>"))
+    worded, words = df.withColumn(_ALL, found), _ALL
     if stop_words:
-        stops = F.array(*[F.lit(word) for word in stop_words])
-        found = F.filter(found, lambda word: ~F.array_contains(stops, word))
-    paired = NGram(n=2, inputCol=_WORDS, outputCol=_PAIRS).transform(
-        df.withColumn(_WORDS, F.coalesce(found, F.array().cast("array<string>")))
-    )
-    return paired.withColumn(_TERMS, F.concat(_WORDS, _PAIRS)).drop(_WORDS, _PAIRS)
+        words = _WORDS
+        worded = StopWordsRemover(
+            inputCol=_ALL, outputCol=words, stopWords=list(stop_words), caseSensitive=True
+        ).transform(worded)
+    paired = NGram(n=2, inputCol=words, outputCol=_PAIRS).transform(worded)
+    return paired.withColumn(_TERMS, F.concat(words, _PAIRS)).drop(_ALL, _WORDS, _PAIRS)
 
 
 def vocabulary(terms: DataFrame, size: int = MAX_FEATURES) -> list[str]:
@@ -60,12 +74,16 @@ class TextFeatures:
     documents: int
     stop_words: tuple[str, ...]
 
-    def count(self, df: DataFrame, text: Column) -> DataFrame:
-        """Add the term counts of ``text``, row by row."""
-        counter = CountVectorizerModel.from_vocabulary(
+    @cached_property
+    def _counter(self) -> CountVectorizerModel:
+        return CountVectorizerModel.from_vocabulary(
             self.terms or [_NEVER], inputCol=_TERMS, outputCol=COUNTS
         )
-        return counter.transform(add_terms(df, text, self.stop_words)).drop(_TERMS)
+
+    def count(self, df: DataFrame, text: Column) -> DataFrame:
+        """Add the term counts of ``text``, row by row."""
+        terms = add_terms(df, text, self.stop_words)
+        return self._counter.transform(terms).drop(_TERMS)
 
     def weigh(self, counted: DataFrame, output: str = "features") -> DataFrame:
         """Turn counts into the normalised vector, row by row."""
@@ -88,6 +106,7 @@ def fit_features(
     into terms twice, for the vocabulary and for the counts; the counts are
     written to the shared folder and all later passes read those.
     """
+    df = spread(df)
     terms = add_terms(df.select(text.alias("_text")), F.col("_text"), stop_words)
     fitted = TextFeatures(vocabulary(terms, size), [1.0], 0, tuple(stop_words))
     counted = written(fitted.count(df, text).select(*keep, COUNTS), "counts")

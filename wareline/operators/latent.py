@@ -17,8 +17,8 @@ from wareline.operators.features import sparse_parts
 # Power iterations and spare directions of the usual
 # randomised decomposition.
 PASSES, SPARE = 5, 10
-# Partial products alive at once; each has the size of the result.
-PARTIALS = 2048
+# Tasks per pass, and terms per block of their partial sums.
+PARTIALS, BLOCK = 2048, 512
 
 
 def project(starts, terms, weights, axes):
@@ -29,26 +29,33 @@ def project(starts, terms, weights, axes):
 def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     """``A' (A basis)`` for the sparse rows of A.
 
-    Each task sums its own rows; the sums, one per task and of fixed size,
-    meet in a tree of executors.
+    Each task sums its own rows and hands its sum on in blocks of terms, so
+    that many tasks add up the blocks. At most ``PARTIALS`` blocks of fixed
+    size meet in one group.
     """
     shared = rows.sparkSession.sparkContext.broadcast(basis)
-    shape = basis.shape
+    size, width = basis.shape
 
     def partial(batches):
-        total = np.zeros(shape)
+        total = np.zeros((size, width))
         for batch in batches:
             flat = flat_rows(batch["terms"], batch["weights"])
             here = sparse_product(*flat, shared.value)
-            total += transposed_product(*flat, here, shape[0])
-        yield pd.DataFrame({"total": [total.tobytes()]})
+            total += transposed_product(*flat, here, size)
+        for block in range(0, size, BLOCK):
+            yield pd.DataFrame(
+                {"block": [block], "total": [total[block : block + BLOCK].tobytes()]}
+            )
 
-    sums = rows.mapInPandas(partial, "total binary").rdd.map(
-        lambda row: np.frombuffer(bytes(row.total)).reshape(shape)
-    )
-    result = sums.treeReduce(np.add, depth=3)
+    def add(key, group):
+        total = sum(np.frombuffer(part) for part in group["total"])
+        return pd.DataFrame({"block": [key[0]], "total": [total.tobytes()]})
+
+    kind = "block int, total binary"
+    sums = rows.mapInPandas(partial, kind).groupBy("block").applyInPandas(add, kind)
+    parts = sorted(sums.collect(), key=lambda row: row.block)
     shared.unpersist()
-    return result
+    return np.concatenate([np.frombuffer(bytes(r.total)).reshape(-1, width) for r in parts])
 
 
 def latent_axes(df: DataFrame, vector: str, size: int, width: int, seed: int = 42):

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from wareline.operators import classify as C
 from wareline.operators import monitor as M
+from wareline.operators.features import fit_features
 from wareline.plans import adapters as D
 from wareline.plans.catalog_queries import SNAPSHOT, redact_sql, snapshot
 from wareline.plans.registry import query, with_ctes
+from wareline.plans.text_queries import terms_sql
 from wareline.session import written
 
 LABELLED = f"""
@@ -245,26 +247,28 @@ def _(spark, sf):
     return C.majority_label(D.table(spark, sf, "documents"), "lang")
 
 
-def _languages(spark, sf) -> DataFrame:
-    """Documents as training rows: text as the name, language as the category."""
-    return D.table(spark, sf, "documents").select(
-        F.concat(F.lit("D"), F.col("doc_id").cast("string")).alias("product_id"),
-        F.col("text").alias("product_name"),
-        F.col("lang").alias("category"),
+def _named(spark, sf) -> DataFrame:
+    """Products whose category is the last word of the part name, so that a
+    name tells its category."""
+    noun = F.element_at(F.split(F.split_part("product_name", F.lit(" Brand"), F.lit(1)), " "), -1)
+    return D.products(spark, sf).withColumn(
+        "category", F.concat_ws("|", F.initcap(noun), F.col("category"))
     )
 
 
 def _trained(spark, sf):
-    rows = written(C.training_rows(_languages(spark, sf))[0], "training")
+    rows = written(C.training_rows(_named(spark, sf))[0], "training")
     C.require_labels(rows)
     return C.train_classifier(C.stratified_split(rows))
 
 
 @query("classifier_predictions")
 def _(spark, sf):
-    """Language predicted for every document."""
+    """Category predicted for every product name and every document."""
     model, _ = _trained(spark, sf)
-    return C.predict_categories(model, _languages(spark, sf)).drop("product_name")
+    names = D.products(spark, sf).select("product_id", "product_name")
+    texts = D.documents(spark, sf).select("product_id", "product_name")
+    return C.predict_categories(model, names.unionByName(texts)).drop("product_name")
 
 
 @query("classifier_evaluation")
@@ -273,9 +277,24 @@ def _(spark, sf):
     return C.evaluation_report(*_trained(spark, sf))
 
 
-@query("unknown_vocabulary")
+@query(
+    "unknown_vocabulary",
+    with_ctes(
+        "corpus AS (SELECT doc_id AS id, text FROM documents)",
+        "names AS (SELECT page_id AS id, html AS text FROM pages)",
+        terms_sql("d", "corpus", ()),
+        terms_sql("q", "names", ()),
+        """
+vocabulary AS (
+  SELECT term FROM d_counts GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 20000),
+known AS (SELECT DISTINCT id FROM q_counts JOIN vocabulary USING (term))""",
+        select="""
+SELECT 1 - (SELECT count(*) FROM known) / count(*) AS unknown_vocabulary_fraction
+FROM pages""",
+    ),
+)
 def _(spark, sf):
-    """Share of page texts without a word known from the documents."""
-    model, _ = _trained(spark, sf)
-    pages = D.table(spark, sf, "pages").select(F.col("url").alias("product_name"))
-    return C.unknown_vocabulary(model.features, pages)
+    """Share of pages without a term known from the documents."""
+    documents = D.table(spark, sf, "documents")
+    features, _ = fit_features(documents, F.col("text"), ["doc_id"])
+    return C.unknown_vocabulary(features, D.table(spark, sf, "pages"), "html")

@@ -10,7 +10,6 @@ from wareline.plans import adapters as D
 from wareline.plans.catalog_queries import FACT_SQL, SNAPSHOT, snapshot
 from wareline.plans.registry import query, with_ctes
 
-STOPS_SQL = "[" + ", ".join(f"'{word}'" for word in X.STOP_WORDS) + "]"
 TOP_SQL = f"""
 shared AS (
   SELECT q.query_id, d.id AS product_id, sum(d.w * q.w) AS raw
@@ -28,12 +27,13 @@ hits AS (
   FROM candidates QUALIFY rank <= 5)"""
 
 
-def _terms_sql(name: str, source: str) -> str:
+def terms_sql(name: str, source: str, stop_words=X.STOP_WORDS) -> str:
     """Words and pairs of ``source(id, text)``, with their counts."""
+    stops = "[" + ", ".join(f"'{word}'" for word in stop_words) + "]"
     return f"""
 {name}_words AS (
   SELECT id, list_filter(regexp_extract_all(strip_accents(lower(text)),
-    '[{'\\pL\\pN_'}]{{2,}}'), lambda w: NOT list_contains({STOPS_SQL}, w)) AS words
+    '[\\pL\\pN_]{{2,}}'), lambda w: NOT list_contains({stops}, w)) AS words
   FROM {source}),
 {name}_terms AS (
   SELECT id, unnest(list_concat(words, list_transform(range(1, len(words)),
@@ -46,8 +46,8 @@ def lexical_sql(docs: str, queries: str) -> list[str]:
     return [
         f"corpus AS ({docs})",
         f"asked AS ({queries})",
-        _terms_sql("d", "corpus"),
-        _terms_sql("q", "asked"),
+        terms_sql("d", "corpus"),
+        terms_sql("q", "asked"),
         """
 vocabulary AS (
   SELECT term, ln((1 + (SELECT count(*) FROM corpus)) / (1 + count(*))) + 1 AS idf
