@@ -11,6 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wareline.functions import text as X
+from wareline.functions.numeric import parse_number
 from wareline.operators.ordered import before, lookup, running_total
 from wareline.schema import (
     EVENT_SCHEMA,
@@ -39,41 +40,44 @@ EVENT_FIELDS = [
 ]
 WHOLE = r"^(TINYINT|SMALLINT|INT|BIGINT)$"
 NUMERIC = r"^(TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DECIMAL.*)$"
-PLAIN_NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 
-def _kind(doc: Column, path: str) -> Column:
+# The parser ignores what follows a complete value, so each line is parsed as
+# the only element of an array, where anything behind it shows.
+_ROOT, _BEHIND = "$[0]", "$[1]"
+
+
+def _kind(path: str) -> Column:
     """Type name of a JSON value: NULL if absent, VOID for an explicit null."""
-    return F.schema_of_variant(F.try_variant_get(doc, path, "variant"))
+    return F.col("_kinds").getField(path)
 
 
-def _unset(kind: Column) -> Column:
-    return kind.isNull() | (kind == "VOID")
+def _value(path: str, kind: str) -> Column:
+    return F.try_variant_get("_doc", f"{_ROOT}.{path}", kind)
 
 
-def _strict_int(doc: Column, path: str) -> Column:
+def _unset(path: str) -> Column:
+    return _kind(path).isNull() | (_kind(path) == "VOID")
+
+
+def _strict_int(path: str) -> Column:
     """A JSON integer that fits a long; text, fractions and booleans do not."""
-    return F.when(
-        _kind(doc, path).rlike(WHOLE), F.try_variant_get(doc, path, "bigint")
-    )
+    return F.when(_kind(path).rlike(WHOLE), _value(path, "bigint"))
 
 
-def _lax_number(doc: Column, path: str) -> Column:
+def _lax_number(path: str) -> Column:
     """A finite JSON number, boolean, or text spelling a number."""
-    kind = _kind(doc, path)
-    text = X.strip(F.try_variant_get(doc, path, "string"))
+    kind = _kind(path)
     value = (
-        F.when(kind.rlike(NUMERIC), F.try_variant_get(doc, path, "double"))
-        .when(kind == "BOOLEAN", F.try_variant_get(doc, path, "boolean").cast("double"))
-        .when((kind == "STRING") & text.rlike(PLAIN_NUMBER), text.try_cast("double"))
+        F.when(kind.rlike(NUMERIC), _value(path, "double"))
+        .when(kind == "BOOLEAN", _value(path, "boolean").cast("double"))
+        .when(kind == "STRING", parse_number(_value(path, "string")))
     )
     return F.when(F.abs(value) < float("inf"), value)
 
 
-def _text(doc: Column, path: str) -> Column:
-    return F.when(
-        _kind(doc, path) == "STRING", X.strip(F.try_variant_get(doc, path, "string"))
-    )
+def _text(path: str) -> Column:
+    return F.when(_kind(path) == "STRING", X.strip(_value(path, "string")))
 
 
 def _first_reason(rules: list[tuple[str, Column]]) -> Column:
@@ -91,55 +95,66 @@ def _extra_keys(keys: Column, allowed: list[str]) -> Column:
     return F.size(F.array_except(keys, F.array(*[F.lit(k) for k in allowed]))) > 0
 
 
-# The parser ignores what follows a complete value, so each line is parsed as
-# the only element of an array, where anything behind it shows.
-_ROOT, _BEHIND = "$[0]", "$[1]"
-
-
 def parse_events(lines: DataFrame) -> DataFrame:
     """Validate JSON lines ``(ord, value)`` against the closed event schema.
 
     Adds a ``reason`` column: NULL for a valid event, otherwise the first
     broken rule. Blank lines are dropped.
     """
-    doc, payload = F.col("_doc"), F.col("_payload")
     fields = PAYLOAD_SCHEMA.fieldNames()
+    paths = [*EVENT_FIELDS, *[f"product.{name}" for name in fields]]
+    document = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+
+    def kind_of(path, name):
+        value = F.try_variant_get("_doc", path, "variant")
+        return F.schema_of_variant(value).alias(name)
+
     raw = (
         lines.where(X.strip(F.col("value")) != "")
-        .withColumn("_doc", F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]"))))
-        .withColumn("_payload", F.get_json_object("value", "$.product"))
+        .withColumn("_doc", document)
+        .withColumns(
+            {
+                "_kinds": F.struct(
+                    kind_of(_ROOT, "root"),
+                    kind_of(_BEHIND, "behind"),
+                    *[kind_of(f"{_ROOT}.{path}", path) for path in paths],
+                ),
+                "_keys": F.json_object_keys("value"),
+                "_product_keys": F.json_object_keys(
+                    F.get_json_object("value", "$.product")
+                ),
+            }
+        )
     )
     typed = raw.withColumns(
         {
-            "event_id": _text(doc, f"{_ROOT}.event_id"),
-            "product_id": _text(doc, f"{_ROOT}.product_id"),
-            "version": _strict_int(doc, f"{_ROOT}.version"),
+            "event_id": _text("event_id"),
+            "product_id": _text("product_id"),
+            "version": _strict_int("version"),
             "operation": F.when(
-                _kind(doc, f"{_ROOT}.operation") == "STRING",
-                F.try_variant_get(doc, f"{_ROOT}.operation", "string"),
+                _kind("operation") == "STRING", _value("operation", "string")
             ),
             "product": F.when(
-                ~_unset(_kind(doc, f"{_ROOT}.product")),
+                ~_unset("product"),
                 F.struct(
                     *[
                         (
-                            _strict_int(doc, f"{_ROOT}.product.{name}")
+                            _strict_int
                             if name == "rating_count"
-                            else _lax_number(doc, f"{_ROOT}.product.{name}")
+                            else _lax_number
                             if name in NUMBER_LIMIT
-                            else _text(doc, f"{_ROOT}.product.{name}")
-                        ).alias(name)
+                            else _text
+                        )(f"product.{name}").alias(name)
                         for name in fields
                     ]
                 ),
             ),
             "inventory_provided": F.coalesce(
-                F.array_contains(F.json_object_keys("value"), "stock_quantity"),
-                F.lit(False),
+                F.array_contains("_keys", "stock_quantity"), F.lit(False)
             ),
-            "stock_quantity": _strict_int(doc, f"{_ROOT}.stock_quantity"),
-            "_has_product": ~_unset(_kind(doc, f"{_ROOT}.product")),
-            "_has_stock": ~_unset(_kind(doc, f"{_ROOT}.stock_quantity")),
+            "stock_quantity": _strict_int("stock_quantity"),
+            "_has_product": ~_unset("product"),
+            "_has_stock": ~_unset("stock_quantity"),
         }
     )
 
@@ -153,10 +168,10 @@ def parse_events(lines: DataFrame) -> DataFrame:
     rules = [
         (
             "not a JSON object",
-            ~F.coalesce(_kind(doc, _ROOT).startswith("OBJECT"), F.lit(False))
-            | _kind(doc, _BEHIND).isNotNull(),
+            ~F.coalesce(_kind("root").startswith("OBJECT"), F.lit(False))
+            | _kind("behind").isNotNull(),
         ),
-        ("unknown field", _extra_keys(F.json_object_keys("value"), EVENT_FIELDS)),
+        ("unknown field", _extra_keys(F.col("_keys"), EVENT_FIELDS)),
         ("event_id", bad_id("event_id")),
         ("product_id", bad_id("product_id")),
         ("version", F.col("version").isNull() | (F.col("version") <= 0)),
@@ -171,13 +186,13 @@ def parse_events(lines: DataFrame) -> DataFrame:
         ),
         (
             "product",
-            F.col("_has_product") & ~_kind(doc, f"{_ROOT}.product").startswith("OBJECT"),
+            F.col("_has_product") & ~_kind("product").startswith("OBJECT"),
         ),
-        ("unknown product field", _extra_keys(F.json_object_keys(payload), fields)),
+        ("unknown product field", _extra_keys(F.col("_product_keys"), fields)),
     ]
     for name in fields:
         value = F.col("product").getField(name)
-        given = ~_unset(_kind(doc, f"{_ROOT}.product.{name}"))
+        given = ~_unset(f"product.{name}")
         if name in TEXT_LENGTH:
             broken = given & (value.isNull() | (F.length(value) > TEXT_LENGTH[name]))
             if name == "product_name":
