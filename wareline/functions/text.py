@@ -96,8 +96,10 @@ def training_label(col: Column) -> Column:
 
 
 def casefold(col: Column) -> Column:
-    """Caseless form; the upper-case detour also folds letters such as ß."""
-    return F.translate(F.lower(F.upper(col)), "ς", "σ")
+    """Caseless form: lower case by way of upper case, with ß as ss and one
+    form of sigma."""
+    folded = F.translate(F.lower(F.upper(col)), "ςẞ", "σß")
+    return F.replace(folded, F.lit("ß"), F.lit("ss"))
 
 
 def name_key(col: Column) -> Column:

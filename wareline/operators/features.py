@@ -60,7 +60,9 @@ def vocabulary(terms: DataFrame, size: int = MAX_FEATURES) -> list[str]:
     At most ``size`` strings reach the driver. The counts are combined on
     the map side, so a frequent term is no hot key.
     """
-    counts = terms.select(F.explode(_TERMS).alias("term")).groupBy("term").count()
+    # The outer form: the plain one adds a filter that cuts every text again.
+    found = terms.select(F.explode_outer(_TERMS).alias("term"))
+    counts = found.where(F.col("term").isNotNull()).groupBy("term").count()
     best = counts.orderBy(F.desc("count"), "term").limit(size)
     return sorted(row.term for row in best.select("term").collect())
 

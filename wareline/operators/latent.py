@@ -59,7 +59,7 @@ def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
 
 
 def latent_axes(df: DataFrame, vector: str, size: int, width: int, seed: int = 42):
-    """The leading ``width`` right singular vectors, as a size-by-width array.
+    """Up to ``width`` leading right singular vectors, as columns.
 
     Subspace iteration: a handful of passes whatever the width. The driver
     only holds ``size`` (at most the vocabulary cap) times ``width`` numbers.
@@ -74,4 +74,6 @@ def latent_axes(df: DataFrame, vector: str, size: int, width: int, seed: int = 4
     within = basis.T @ _gram_times(rows, basis)
     values, vectors = np.linalg.eigh((within + within.T) / 2)
     leading = np.argsort(values)[::-1][:width]
+    # Directions that no row has are arbitrary and would only blur queries.
+    leading = leading[values[leading] > values.max() * 1e-10]
     return basis @ vectors[:, leading]

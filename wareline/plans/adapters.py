@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wareline.operators.events import payload_hash
+from wareline.operators.features import spread
 from wareline.schema import EVENT_SCHEMA, PAYLOAD_SCHEMA, PRODUCT_SCHEMA
 
 
@@ -202,7 +203,7 @@ def product_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         "category": F.concat_ws("|", F.lit("Stream"), "event_type"),
         "discounted_price": cents / 100,
     }
-    base = table(spark, sf_dir, "events").select(
+    base = spread(table(spark, sf_dir, "events")).select(
         e.alias("ord"),
         F.concat(F.lit("e"), e.cast("string")).alias("event_id"),
         F.concat(F.lit("U"), F.col("user_id").cast("string")).alias("product_id"),
