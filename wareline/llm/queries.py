@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from wareline.llm import html_blocks, neighbours, quality, toxicity
+from wareline.llm import fingerprints, html_blocks, neighbours, quality, toxicity
 from wareline.llm.common import fold, table
 from wareline.session import configure
 
@@ -68,3 +68,9 @@ def _neighbours(spark, sf_dir):
     return neighbours.search(
         table(spark, sf_dir, "embeddings"), is_query=lambda vec_id: vec_id % 100 == 0, k=10
     )
+
+
+@query("op5_fingerprints")
+def _fingerprints(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return fingerprints.compare_with_edits(docs, fingerprints.lexicon(docs))
