@@ -24,6 +24,21 @@ def fold_of(doc_id: int, parts: int) -> int:
     return zlib.crc32(str(doc_id).encode()) % parts
 
 
+def range_borders(df: DataFrame, col: str, parts: int) -> list:
+    """Rising values that cut ``col`` into at most ``parts`` ranges of like size."""
+    if parts < 2:
+        return []
+    shares = [i / parts for i in range(1, parts)]
+    return sorted(set(df.agg(F.percentile_approx(col, shares, 10000)).first()[0] or []))
+
+
+def range_of(value, borders: list):
+    """Number of the range that holds ``value``: how many borders are not above it."""
+    if not borders:
+        return F.lit(0)
+    return F.size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b <= value))
+
+
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[str]:
     """Python strings of an Arrow column, nulls as empty texts."""
     return [text or "" for text in column.to_pylist()]

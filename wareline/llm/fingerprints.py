@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
-from wareline.llm.common import map_batches, texts_of
+from wareline.llm.common import map_batches, range_borders, range_of, texts_of
 
 SLOTS = 1 << 20
 #: Band of document frequency, as shares of all documents.
@@ -176,25 +176,16 @@ COMPARED = T.StructType(
 
 def _ranges(docs: DataFrame, parts: int) -> tuple[list[int], list]:
     """Lower borders of id ranges of like size, and the largest id in each (or None)."""
-    shares = [i / parts for i in range(1, parts)]
-    found = docs.agg(F.percentile_approx("doc_id", shares, 10000)).first()[0] if shares else []
-    borders = sorted(set(found or []))
+    borders = range_borders(docs, "doc_id", parts)
     largest = dict(
         docs.where(F.col("doc_id").isNotNull())
-        .groupBy(_range_of(borders).alias("part"))
+        .groupBy(range_of(F.col("doc_id"), borders).alias("part"))
         .agg(F.max("doc_id"))
         .collect()
     )
     return borders, [largest.get(i) for i in range(len(borders) + 1)]
 
 
-def _range_of(borders: list[int]):
-    """Number of the range that holds an id: how many borders are not above it."""
-    if not borders:
-        return F.lit(0)
-    return F.size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b <= F.col("doc_id")))
-
-
 def compare_with_edits(docs: DataFrame, words: Lexicon, id_col="doc_id", text_col="text"):
     """Fingerprints of every text, of its edited form, and of its successor.
 
@@ -219,7 +210,7 @@ def compare_with_edits(docs: DataFrame, words: Lexicon, id_col="doc_id", text_co
     above = {filled[n]: filled[n + 1] for n in range(len(filled) - 1)}
     if filled:
         above[filled[-1]] = lowest
-    at = F.when(F.col("doc_id").isNull(), F.lit(lowest)).otherwise(_range_of(borders))
+    at = F.when(F.col("doc_id").isNull(), F.lit(lowest)).otherwise(range_of(F.col("doc_id"), borders))
     targets = F.map_from_arrays(
         F.array(*[F.lit(largest[i]).cast("long") for i in above]),
         F.array(*[F.lit(target) for target in above.values()]),
