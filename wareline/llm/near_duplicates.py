@@ -9,12 +9,13 @@ the limit are confirmed on the full sets.
 
 No bucket is expanded into all its pairs. In a first round each document is
 compared with one hub of every bucket it is in, and confirmed against the one
-most like it; that joins large groups. In a second round all pairs that share
-a bucket but not yet a component are estimated inside the join, and those that
-pass are confirmed. What no pair of rounds can add is already connected, so
-the components are those of all links among candidates. At the limit of 0.8 a
-pair shares no band with a chance of 5e-8, and the estimate lies five
-deviations below the limit.
+most like it; that joins large groups. Then all pairs that share a bucket but
+not yet a component are estimated inside the join, each in the first band that
+it shares. Those that pass are confirmed in rounds, the likeliest of every
+document first and at last all that are still between two components. The
+components are so those of all links among candidates. At the limit of 0.8 a
+pair shares no band with a chance of 5e-8, and passes the estimate unless that
+errs by four and a half deviations.
 
 Rows come back one for one. Documents without words (null texts too) have no
 shingles and are linked with nothing; with fewer words than a shingle the whole
@@ -32,7 +33,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql import types as T
 
 from wareline.llm.common import map_batches, texts_of
@@ -40,11 +41,14 @@ from wareline.session import written
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
-BANDS, ROWS, BITS = 32, 4, 4
-MINIMA = BANDS * ROWS
+BANDS, ROWS, BITS = 32, 4, 2
+#: Minima in a signature; the bands take the first of them.
+MINIMA = 512
 LONGS = MINIMA * BITS // 64
-#: How far below the limit an estimate may lie; its deviation there is 0.037.
-SLACK = 0.19
+#: How far below the limit an estimate may lie; its deviation there is 0.021.
+SLACK = 0.095
+#: Candidates of a document confirmed in each round, likeliest first; then all.
+ROUNDS = (1, 8)
 
 _RANDOM = np.random.default_rng(41)
 _FACTORS = (_RANDOM.integers(1, 1 << 62, MINIMA, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -88,8 +92,8 @@ def shingle_set(hashes: np.ndarray, words: int) -> np.ndarray:
 def minima(shingles: np.ndarray) -> np.ndarray:
     """The least value of each hash function, 32 bits each."""
     best = np.full(MINIMA, 1 << 32, np.uint64)
-    for start in range(0, len(shingles), 4096):
-        part = shingles[start : start + 4096]
+    for start in range(0, len(shingles), 1024):
+        part = shingles[start : start + 1024]
         values = (part[None, :] * _FACTORS[:, None] + _SHIFTS[:, None]) >> np.uint64(32)
         best = np.minimum(best, values.min(axis=1))
     return best
@@ -97,7 +101,7 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 
 def _buckets(best: np.ndarray) -> np.ndarray:
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
-    for column in best.reshape(BANDS, ROWS).T:
+    for column in best[: BANDS * ROWS].reshape(BANDS, ROWS).T:
         key = _mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
     return key.view(np.int64)
 
@@ -227,6 +231,26 @@ def connected(links: DataFrame) -> DataFrame:
         seen = mark
 
 
+def _likeliest(pairs: DataFrame, most: int) -> DataFrame:
+    """For every document of ``pairs`` the ``most`` pairs with the best estimates.
+
+    The rank is limited before the shuffle too, so no document's pairs gather.
+    """
+    ends = pairs.select("a", "b", "alike", F.explode(F.array("a", "b")).alias("end"))
+    best = Window.partitionBy("end").orderBy(F.col("alike").desc(), "a", "b")
+    ranked = ends.withColumn("at", F.row_number().over(best)).where(F.col("at") <= most)
+    return ranked.select("a", "b").distinct()
+
+
+def _between(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """The pairs whose ends lie in two components."""
+    root_a = joined.select(F.col("node").alias("a"), F.col("root").alias("root_a"))
+    root_b = joined.select(F.col("node").alias("b"), F.col("root").alias("root_b"))
+    rooted = pairs.join(root_a, "a", "left").join(root_b, "b", "left")
+    apart = F.coalesce("root_a", "a") != F.coalesce("root_b", "b")
+    return rooted.where(apart).select("a", "b", "alike")
+
+
 def components(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col="doc_id", text_col="text"
 ) -> DataFrame:
@@ -243,15 +267,18 @@ def components(
         "classes",
     )
     limit = percent / 100.0 - SLACK
-    members = classes.select(F.explode("buckets").alias("bucket"), "rep")
+    members = classes.select(F.posexplode("buckets").alias("band", "bucket"), "rep")
     bits = classes.select("rep", "bits")
+    shared = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    crowded = written(members.join(shared, "bucket"), "members")
+    # The text that others were made from shares most buckets with most of them.
+    weights = crowded.groupBy("rep").agg(F.sum("n").alias("weight"))
     hubs = (
-        members.groupBy("bucket")
-        .agg(F.count("*").alias("n"), F.min_by("rep", F.xxhash64("bucket", "rep")).alias("hub"))
-        .where("n > 1")
-        .select("bucket", "hub")
+        crowded.join(weights, "rep")
+        .groupBy("bucket")
+        .agg(F.max_by("rep", F.struct("weight", F.negative("rep"))).alias("hub"))
     )
-    held = written(members.join(hubs, "bucket"), "candidates")
+    held = written(crowded.select("band", "bucket", "rep").join(hubs, "bucket"), "candidates")
     near = (
         held.where("rep <> hub")
         .select("rep", "hub")
@@ -277,7 +304,7 @@ def components(
     joined = connected(sure)
 
     rest = held.join(joined.withColumnRenamed("node", "rep"), "rep", "left").select(
-        "bucket", "rep", F.coalesce("root", "rep").alias("root")
+        "band", "bucket", "rep", F.coalesce("root", "rep").alias("root")
     )
     mixed = (
         rest.groupBy("bucket")
@@ -285,24 +312,35 @@ def components(
         .where("low <> high")
         .select("bucket")
     )
-    open_rows = written(rest.join(mixed, "bucket").join(bits, "rep"), "open")
-    left, right = open_rows.alias("l"), open_rows.alias("r")
-    second = (
-        left.join(
-            right,
-            (F.col("l.bucket") == F.col("r.bucket"))
-            & (F.col("l.root") < F.col("r.root"))
-            & (estimate(F.col("l.bits"), F.col("r.bits")) >= limit),
-        )
-        .select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"))
-        .distinct()
+    known = classes.select("rep", "bits", "buckets")
+    open_rows = written(
+        rest.join(mixed, "bucket")
+        .join(known, "rep")
+        .select("bucket", "rep", "root", "bits", F.expr("slice(buckets, 1, band)").alias("before")),
+        "open",
     )
+    left, right = open_rows.alias("l"), open_rows.alias("r")
+    alike = estimate(F.col("l.bits"), F.col("r.bits"))
+    pairs = left.join(
+        right,
+        (F.col("l.bucket") == F.col("r.bucket"))
+        & (F.col("l.root") < F.col("r.root"))
+        & (alike >= limit)
+        & ~F.arrays_overlap("l.before", "r.before"),
+    ).select(F.col("l.rep").alias("a"), F.col("r.rep").alias("b"), alike.alias("alike"))
     both_ways = first.unionByName(first.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    second = written(second.join(both_ways, ["a", "b"], "left_anti"), "pairs")
-    more = written(confirmed(second, own, words, percent), "confirmed")
-    if not more.isEmpty():
-        stars = joined.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        joined = connected(stars.unionByName(more))
+    pairs = written(pairs.join(both_ways, ["a", "b"], "left_anti"), "pairs")
+    for most in (*ROUNDS, None):
+        if pairs.isEmpty():
+            break
+        chosen = pairs if most is None else _likeliest(pairs, most)
+        chosen = written(chosen.select("a", "b"), "chosen")
+        more = written(confirmed(chosen, own, words, percent), "confirmed")
+        if not more.isEmpty():
+            stars = joined.select(F.col("node").alias("a"), F.col("root").alias("b"))
+            joined = connected(stars.unionByName(more))
+        if most is not None:
+            pairs = written(_between(pairs, joined).join(chosen, ["a", "b"], "left_anti"), "pairs")
 
     roots = classes.select("class_a", "class_b", "rep").join(
         joined.withColumnRenamed("node", "rep"), "rep", "left"
