@@ -1,0 +1,93 @@
+import hashlib
+import re
+
+import pytest
+
+from tests.llm.fixtures import SCHEMA, documents
+from wareline.llm import pii
+
+PATTERNS = (
+    ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
+    ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),
+    ("card", r"[0-9]([\x20-]?[0-9])+"),
+    ("phone", r"\+[0-9][\x20().0-9-]+[0-9]"),
+)
+TEXTS = [
+    "a@b.c, x.y+z@mail-1.example.org. no@dot a@b.c_d@e.f @x.y a@@b.c",
+    "1.2.3.4 256.1.1.1 0255.1.2.3 1.2.3.4.5.6.7.8 9.9.9",
+    "4532 0151 1283 0366 4532-0151-1283-0366 4532015112830366 4532015112830367 79927398713 0000000000000",
+    "+1 (017) 555-7713 +123 +49.30.1234567. +1--2 ++44 20 7946 0958 +12345678901234567",
+    "é\U0001f600 ü +1 (017) 555-7713\U0001f600x@y.z é 10.0.0.1",
+    "9.9.9.9 4532015112830366 4485275742308327",
+    None, "", "12" * 4000, "a." * 5000 + "@b.c", "+1" + " " * 5000, "5" * 16,
+]
+
+
+@pytest.fixture(scope="module")
+def model(spark):
+    return pii.fit(spark)
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(map(int, reversed(digits))):
+        total += d if i % 2 == 0 else (2 * d - 9 if 2 * d > 9 else 2 * d)
+    return total % 10 == 0
+
+
+def base(text):
+    out = []
+    for kind, pattern in PATTERNS:
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            if (kind == "email" or (kind == "ip" and all(int(p) <= 255 for p in m[0].split(".")))
+                    or (kind == "card" and 13 <= len(digits) <= 19 and luhn(digits))
+                    or (kind == "phone" and 9 <= len(digits) <= 15)):
+                out.append(f"{kind}:{m.start()}:{m.end()}")
+    return out
+
+
+def test_base_spans_against_brute_force(spark, model):
+    docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id int, text string")
+    for r in pii.summary(docs, model).collect():
+        want = base(TEXTS[r.doc_id])
+        assert r.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest(), TEXTS[r.doc_id]
+        assert set(want) <= set(r.spans.split(",")) | {""}
+        for n, kind in enumerate(("email", "ip", "card", "phone")):
+            assert r[f"n_{kind}"] == sum(w.startswith(kind + ":") for w in want)
+
+
+def test_trees_separate_their_examples(spark):
+    x, y = pii.example_features(spark)
+    assert len(y) == len(pii.EXAMPLES)
+    model = pii.train(x, y)
+    assert all((model.margin(r) >= model.thresholds[int(r[0])]) == bool(label) for r, label in zip(x, y))
+
+
+def test_looser_spans(spark, model):
+    text = "my phone: 555 123 4567; mail jo (at) post.example.org; ids 1 4532015112830366 4485275742308327"
+    got = pii.summary(spark.createDataFrame([(1, text)], "doc_id int, text string"), model).first().spans
+    kinds = [s.split(":")[0] for s in got.split(",")]
+    assert kinds == ["email", "card", "card", "phone"]
+
+
+def test_redact_leaves_no_base_span_and_all_else(spark, model):
+    docs = documents(spark, extra=list(enumerate(TEXTS, 100)))
+    old = docs.collect()
+    before = {r.doc_id: r for r in old}
+    got = pii.redact(docs, model)
+    assert got.columns == docs.columns
+    rows = got.collect()
+    assert len(rows) == docs.count()
+    for r in rows:
+        assert base(r.text) == []
+        if base(before[r.doc_id].text):
+            assert r.n_chars == len(r.text)
+        elif r.doc_id is not None and r.doc_id < 100:
+            assert r in old
+    assert pii.redact(spark.createDataFrame([], SCHEMA), model).count() == 0
+
+
+def test_scan_is_native(spark, model):
+    plan = pii.summary(documents(spark), model)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

@@ -239,9 +239,9 @@ EXAMPLES = (
     ("email «bob at example dot com»", "email", 1),
     ("we met «him at noon dot and» left", "email", 0),
     ("she was «there at five dot so» it goes", "email", 0),
-    ("looked «up at stars.and then» went", "email", 0),
+    ("looked «up at stars dot and» went", "email", 0),
     ("they sat «down at once dot it» was late", "email", 0),
-    ("put a «mark at the.end of» it", "email", 0),
+    ("put a «mark at the dot end» of it", "email", 0),
     ("paid with «4532015112830366» 4485275742308327 both", "card", 1),
     ("2 «6011 1111 1111 1117» 9", "card", 1),
     ("card 12 «5500005555555559» 07", "card", 1),
@@ -438,12 +438,12 @@ def summary(docs: DataFrame, model: Boosted, id_col="doc_id", text_col="text") -
     """Counts of the base kinds, a digest of the base spans, and all spans."""
     found = find(docs.select(F.col(id_col), F.col(text_col).alias("text")), model)
     base = F.filter("spans", lambda s: s["base"])
-    counts = [
-        F.size(F.filter("spans", lambda s, k=k: s["base"] & (s["kind"] == k)))
-        .cast("long")
-        .alias(f"n_{KINDS[k]}")
-        for k in range(4)
-    ]
+
+    def count(k):
+        own = F.filter("spans", lambda s: s["base"] & (s["kind"] == k))
+        return F.size(own).cast("long").alias(f"n_{KINDS[k]}")
+
+    counts = [count(k) for k in range(4)]
     return found.select(
         id_col,
         *counts,
