@@ -62,7 +62,11 @@ def exact_mean(col: Column, places: int = 2) -> Column:
     """Mean rounded half-up, summed as decimals.
 
     A double sum depends on the order of the partial sums, which flips
-    results lying on a rounding tie; a decimal sum does not.
+    results lying on a rounding tie; a decimal sum does not. Where a value fits
+    no decimal (infinite, or 1e18 and more) the mean is that of doubles.
     """
-    total = F.sum(col.try_cast("decimal(28,10)"))
-    return F.round(total / F.count(col), places).cast("double")
+    fitting = col.try_cast("decimal(28,10)")
+    exact = F.round(F.sum(fitting) / F.count(col), places).cast("double")
+    return F.when(F.count(fitting) == F.count(col), exact).otherwise(
+        F.round(F.avg(col.cast("double")), places)
+    )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -33,9 +34,12 @@ def _local_dir(application: str) -> str:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none, as in unit tests, a local one serves.
+    Only in local mode, as in unit tests, a local one serves where the session
+    names none; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (folder or _local_dir(spark.sparkContext.applicationId)).rstrip("/")
 
 

@@ -71,7 +71,9 @@ class CatalogStore:
         try:
             published = self.spark.read.schema(_DESCRIPTOR).json(self._path("published"))
             row = published.orderBy(F.desc("version")).first()
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             row = None
         return Descriptor(**row.asDict()) if row else Descriptor()
 
@@ -88,7 +90,9 @@ class CatalogStore:
         with_version = T.StructType([*schema.fields, T.StructField("v", T.LongType())])
         try:
             rows = self.spark.read.schema(with_version).parquet(self._path(name))
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return empty_table(self.spark, schema)
         return rows.where(F.col("v") <= at.version).select(schema.fieldNames())
 
