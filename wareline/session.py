@@ -38,7 +38,7 @@ def shared_dir(spark: SparkSession) -> str:
     names none; on a cluster that is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not re.match(r"local(\[|$)", spark.sparkContext.master):
+    if not folder and not re.match(r"local(\[|$)", spark.conf.get("spark.master", "local")):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (folder or _local_dir(spark.sparkContext.applicationId)).rstrip("/")
 
