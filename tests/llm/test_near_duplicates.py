@@ -82,6 +82,35 @@ def test_estimate_corrects_for_chance(spark):
         assert abs(df.select(N.estimate(F.col("a"), F.col("b"))).first()[0] - share) < 0.095
 
 
+def test_fine_estimate(spark):
+    rng = np.random.default_rng(4)
+    for n in (3, 40, 400, 4000):
+        one = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for share in (0.0, 0.5, 0.8, 1.0):
+            cut = int(n * 2 * share / (1 + share))
+            two = np.concatenate([one[:cut], rng.integers(0, 1 << 63, n - cut, dtype=np.uint64)])
+            rows = [[int(x) for x in N._fine(s)] for s in (one, two)]
+            df = spark.createDataFrame([tuple(rows)], "a array<long>, b array<long>")
+            got = df.select(N.fine_estimate(F.col("a"), F.col("b"))).first()[0]
+            truth = cut / (2 * n - cut)
+            assert got == 1.0 if n < 16 else abs(got - truth) < N.FINE_SLACK, (n, share, got)
+
+
+def test_large_group_around_the_limit(spark):
+    """Many edited copies whose pairs lie close to the limit on both sides."""
+    rows = []
+    for seed in (21, 22):
+        rng, base = random.Random(seed), words(seed, 400)
+        for i in range(150):
+            text = list(base)
+            for _ in range(rng.randrange(4, 12)):
+                text[rng.randrange(400)] = f"e{rng.randrange(100_000)}"
+            rows.append((seed * 1000 + i, " ".join(text)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = N.components(docs, words=4).collect()
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=repr) == brute(rows, 4)
+
+
 def test_connected_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 49), (60, 60)], "a long, b long")
     got = {r.node: r.root for r in N.connected(links).collect()}
