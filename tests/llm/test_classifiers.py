@@ -35,6 +35,16 @@ def test_toxicity_windows_cover_the_whole_text():
     assert joined == text.split()
 
 
+def test_toxicity_fit_sees_whole_texts():
+    # Late in long texts, at places that a prefix or an even choice of 1,600 words skips.
+    phrase = "amber birch cedar dahlia elder fennel garlic hazel".split()
+    good = [" ".join(words(200 + i, 3008) + phrase + words(300 + i, 1984)) for i in range(30)]
+    bad = [" ".join(words(i, 4001) + ["schuftig"] + words(100 + i, 998)) for i in range(30)]
+    ordinary, toxic = toxicity._dictionaries(bad, good)
+    assert any(word.encode() in ordinary for word in phrase)
+    assert b"schuftig" in toxic
+
+
 @pytest.mark.parametrize("rows, share", [([], 0.0), ([("a b c", 1)], 1.0)])
 def test_toxicity_without_two_classes(rows, share):
     totals = (0, 1) if rows else (0, 0)

@@ -17,7 +17,9 @@ Rows come back one for one, repeated ids included.
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -35,9 +37,10 @@ from wareline.llm.common import (
 )
 
 WINDOW = 16
-#: Bounds of the fit: labelled rows of each class, windows of each row.
+#: Bound of the fit: labelled rows of each class. Their texts count whole.
 MAX_ROWS = 1200
-MAX_WINDOWS = 100
+#: Words of an ordinary sample for the dictionary.
+SAMPLE = 32
 ORDINARY_BYTES = 16384
 TOXIC_BYTES = 8192
 GRAM_SIZES = (4, 5)
@@ -55,42 +58,34 @@ def windows(text: str, size: int = WINDOW) -> list[bytes]:
     ]
 
 
-def _spread(items: list, most: int) -> list:
-    """At most ``most`` items, evenly spread over all."""
-    if len(items) <= most:
-        return items
-    return [items[i * len(items) // most] for i in range(most)]
-
-
-def _grams(word: str) -> set[str]:
+@lru_cache(1 << 15)
+def _grams(word: str) -> frozenset[str]:
     padded = f" {word} "
-    return {padded[i : i + n] for n in GRAM_SIZES for i in range(len(padded) - n + 1)}
+    return frozenset(padded[i : i + n] for n in GRAM_SIZES for i in range(len(padded) - n + 1))
 
 
-def _gram_counts(texts: list[list[str]]) -> Counter:
-    """In how many texts each character gram occurs."""
-    memo: dict[str, set[str]] = {}
+def _gram_counts(texts: list[str], among=None) -> Counter:
+    """In how many texts each character gram occurs, or each of ``among``."""
     counts: Counter = Counter()
-    for words in texts:
+    for text in texts:
         seen: set[str] = set()
-        for word in set(words):
-            if word not in memo:
-                memo[word] = _grams(word)
-            seen |= memo[word]
-        counts.update(seen)
+        for word in set(text.lower().split()):
+            seen |= _grams(word)
+        counts.update(seen if among is None else seen & among)
     return counts
 
 
-def _telling_grams(toxic: list[list[str]], ordinary: list[list[str]]) -> set[str]:
+def _telling_grams(toxic: list[str], ordinary: list[str]) -> set[str]:
     """Grams far more frequent in toxic texts, by a likelihood ratio."""
     n1, n0 = len(toxic), len(ordinary)
     prior = n1 / (n1 + n0)
-    against = _gram_counts(ordinary)
+    often = {gram: k for gram, k in _gram_counts(toxic).items() if k >= 3}
+    against = _gram_counts(ordinary, often.keys())
     out = set()
-    for gram, k in _gram_counts(toxic).items():
+    for gram, k in often.items():
         m = against[gram]
         share = k / (k + m)
-        if k < 3 or k / n1 < MIN_RATE_RATIO * (m + 0.5) / n0 or share <= prior:
+        if k / n1 < MIN_RATE_RATIO * (m + 0.5) / n0 or share <= prior:
             continue
         evidence = k * np.log(share / prior)
         if m:
@@ -200,23 +195,26 @@ class ToxicityModel:
         return score
 
 
+def _ordinary_samples(texts: list[str]) -> Iterator[bytes]:
+    """Every run of ``SAMPLE`` neighbouring words of the whole texts."""
+    for text in texts:
+        words = text.lower().split()
+        for i in range(0, len(words), SAMPLE):
+            yield " ".join(words[i : i + SAMPLE]).encode("utf-8", "replace")
+
+
+def _toxic_samples(toxic: list[str], ordinary: list[str]) -> Iterator[bytes]:
+    """The telling passages of each whole toxic text."""
+    grams = _telling_grams(toxic, ordinary)
+    for text in toxic:
+        if runs := _passages(text.lower().split(), grams):
+            yield "".join(run + PADDING for run in runs).encode("utf-8", "replace")
+
+
 def _dictionaries(toxic: list[str], ordinary: list[str]) -> tuple[bytes, bytes]:
-    split = [[t.lower().split() for t in texts] for texts in (toxic, ordinary)]
-    split = [[_spread(words, MAX_WINDOWS * WINDOW) for words in texts] for texts in split]
-    plain = [
-        " ".join(words[i : i + 32]).encode("utf-8", "replace")
-        for words in split[1]
-        for i in range(0, min(len(words), 32 * 24), 32)
-    ]
-    grams = _telling_grams(*split)
-    marked = [
-        "".join(run + PADDING for run in runs).encode("utf-8", "replace")
-        for words in split[0]
-        if (runs := _passages(words, grams))
-    ]
     return (
-        train_dictionary(plain, ORDINARY_BYTES, segment=16),
-        train_dictionary(marked, TOXIC_BYTES, segment=32),
+        train_dictionary(list(_ordinary_samples(ordinary)), ORDINARY_BYTES, segment=16),
+        train_dictionary(list(_toxic_samples(toxic, ordinary)), TOXIC_BYTES, segment=32),
     )
 
 
