@@ -26,6 +26,29 @@ def test_broken_markup():
     assert H.main_text("<article>" + "<p>word</p>" * 5000, tree) == "\n".join(["word"] * 5000)
 
 
+def test_end_tags_left_out():
+    tree = H.trained_tree()
+    article = "<article><p>All of it</article><p>bye"
+    for tag, inner in (
+        ("aside", "<table>" + "<tr><td>x" * 40), ("nav", "<dl>" + "<dt>a<dd>b" * 40),
+        ("form", "<select>" + "<optgroup><option>a" * 40), ("aside", "<ul>" + "<li><p>x" * 40),
+        ("nav", "<div>" * 100), ("aside", "<p class=ad>x"),
+    ):
+        assert H.main_text(f"<{tag}>{inner}</{tag}>{article}", tree) == "All of it", inner
+    # A mark ends with its element: cells, terms and paragraphs on each other.
+    for marked in ("<table><tr><td class=ad>x<th>", "<table><tr class=ad><td><p>x<tr><td>",
+                   "<dl><dt class=ad>x<dd>", "<p class=ad>x<div>"):
+        assert H.main_text(f"<article>{marked}kept", tree) == "kept", marked
+    # A nested table or list stays in its cell or item.
+    assert H.main_text("<article><table><tr><td class=ad><table><tr><td>x<td>y</table>z<td>kept", tree) == "kept"
+    assert H.main_text("<article><ul><li class=ad><ul><li>x<li>y</ul>z<li>kept", tree) == "kept"
+    for start in ("<body>", "", "<div>", "<b>"):
+        page = f"<html><head><title>T</title><meta a=b>\n{start}<article>kept"
+        assert H.main_text(page, tree) == "kept", start
+    assert H.main_text("<head><title>T</title><noscript>x</noscript>" + "a word " * 40, tree)
+    assert H.main_text("<article>" + "<div>" * 30000 + "</b></i></p></td>" * 30000 + "x", tree) == "x"
+
+
 def test_extract_keeps_rows(spark):
     rows = [(1, "u", PAGE, "x", 1), (1, "u", PAGE, "x", 1), (2, None, None, "y", 2), (None, "v", "", "z", 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")

@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -55,7 +56,26 @@ ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]
 TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^<>\"']*)>")
 TAG_REST = re.compile(r"[^>\"']*")
-CUT = {"p", "li", "dt", "dd", "tr", "td", "th", "option"}
+#: Elements whose start ends those named, where their end tags are left out.
+ENDS = {
+    "li": {"li"},
+    **dict.fromkeys(("dt", "dd"), {"dt", "dd"}),
+    **dict.fromkeys(("td", "th"), {"td", "th"}),
+    "tr": {"tr", "td", "th"},
+    **dict.fromkeys(("thead", "tbody", "tfoot"), {"thead", "tbody", "tfoot", "tr", "td", "th"}),
+    "option": {"option"},
+    "optgroup": {"option", "optgroup"},
+}
+#: Elements whose start ends a paragraph.
+ENDS_P = frozenset(
+    "address article aside blockquote center details dialog dir div dl fieldset figcaption figure "
+    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre search section summary "
+    "table ul".split()
+)
+#: Elements that may stand in the head; any other, or text, ends it.
+IN_HEAD = frozenset(
+    "base basefont bgsound head html link meta noframes noscript script style template title".split()
+)
 
 
 @dataclass
@@ -85,6 +105,46 @@ class _Reader:
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
     links: int = 0
+    #: How many elements of a name are open.
+    count: Counter = field(default_factory=Counter)
+
+    def cut(self, at: int) -> None:
+        """Close the elements from ``at`` on."""
+        self.count.subtract(o.name for o in self.stack[at:])
+        del self.stack[at:]
+
+    def cut_to(self, name: str) -> None:
+        """Close the innermost element of the name, if one is open, and all in it.
+
+        What is passed over is closed, so a page takes linear time.
+        """
+        if self.count[name]:
+            at = len(self.stack) - 1
+            while self.stack[at].name != name:
+                at -= 1
+            self.cut(at)
+
+    def end_left_open(self, name: str) -> None:
+        """Close what the start of ``name`` ends without an end tag."""
+        if name == "body":
+            self.cut_to("head")
+        if not self.stack:
+            return
+        top = at = len(self.stack) - 1
+        paragraph = self.stack[top].name == "p"
+        if name in ENDS:
+            at -= paragraph
+            while at >= 0 and self.stack[at].name in ENDS[name]:
+                at -= 1
+            if at < top - paragraph:
+                self.cut(at + 1)
+        elif paragraph and name in ENDS_P:
+            self.cut(top)
+
+    def end_head(self) -> None:
+        if self.stack and self.stack[-1].name == "head":
+            self.end_block()
+            self.cut(len(self.stack) - 1)
 
     def end_block(self) -> None:
         parts = self.parts
@@ -103,12 +163,16 @@ class _Reader:
         self.linked.clear()
 
     def add(self, text: str) -> None:
+        if text.strip():
+            self.end_head()
         if not (self.stack and self.stack[-1].hidden):
             self.parts.append(text)
             if self.links:
                 self.linked.append(text)
 
     def open(self, name: str, attributes: str) -> None:
+        if name not in IN_HEAD:
+            self.end_head()
         if name == "br":
             self.add("\n")
             return
@@ -117,10 +181,9 @@ class _Reader:
             return
         self.end_block()
         self.links = 0
+        self.end_left_open(name)
         if name in VOID:
             return
-        if name in CUT and self.stack and self.stack[-1].name == name:
-            self.stack.pop()
         above = self.stack[-1] if self.stack else NOWHERE
         hint = ""
         if attributes and name not in ("html", "body"):
@@ -135,6 +198,7 @@ class _Reader:
             hint and HINTS.search(hint) and name != "header"
         ):
             furniture = False
+        self.count[name] += 1
         self.stack.append(
             _Open(
                 name,
@@ -150,10 +214,7 @@ class _Reader:
             return
         self.end_block()
         self.links = 0
-        for i in range(len(self.stack) - 1, max(-1, len(self.stack) - 65), -1):
-            if self.stack[i].name == name:
-                del self.stack[i:]
-                break
+        self.cut_to(name)
 
 
 def _tag_end(page: str, at: int) -> int:
