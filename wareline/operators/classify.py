@@ -24,6 +24,7 @@ from wareline.session import written
 MIN_ROWS, HOLDOUT, STRENGTHS, MAX_NAME = 5, 0.2, (0.5, 2.0), 2000
 ABSTAINED = "No known vocabulary in this name."
 INVALID = "Product name must contain 1–2000 characters."
+BLANK = "Text must not be blank."
 
 
 def labelled_rows(df: DataFrame, ord_col: str | None = None) -> DataFrame:
@@ -222,16 +223,24 @@ def train_classifier(
     }
 
 
-def predict_categories(model: CategoryModel, names: DataFrame, name: str = "product_name") -> DataFrame:
+def predict_categories(
+    model: CategoryModel,
+    names: DataFrame,
+    name: str = "product_name",
+    max_length: int | None = MAX_NAME,
+) -> DataFrame:
     """Category and probabilities per name; unknown wording abstains.
 
-    Names outside the allowed length stay in the result with a reason.
+    Names outside the allowed length stay in the result with a reason. Without
+    ``max_length`` a text of any length is scored whole.
     """
     model.check()
     text = F.col(name)
-    valid = F.coalesce(
-        (X.strip(text) != "") & (F.length(text) <= MAX_NAME), F.lit(False)
-    )
+    allowed, reason = X.strip(text) != "", BLANK
+    if max_length is not None:
+        allowed &= F.length(text) <= max_length
+        reason = INVALID.replace(str(MAX_NAME), str(max_length))
+    valid = F.coalesce(allowed, F.lit(False))
     # A name that is too long is not cut into terms at all.
     featured = model.features.transform(
         names.withColumn("_valid", valid),
@@ -243,7 +252,7 @@ def predict_categories(model: CategoryModel, names: DataFrame, name: str = "prod
         *names.columns,
         F.when(usable, F.col("category")).alias("category"),
         (F.col("_valid") & (F.col("_known") == 0)).alias("abstained"),
-        F.when(~F.col("_valid"), INVALID)
+        F.when(~F.col("_valid"), reason)
         .when(F.col("_known") == 0, ABSTAINED)
         .alias("reason"),
         F.when(usable, F.col("probability")).alias("probability"),

@@ -264,11 +264,14 @@ def _trained(spark, sf):
 
 @query("classifier_predictions")
 def _(spark, sf):
-    """Category predicted for every product name and every document."""
+    """Category predicted for every product name and every whole document."""
     model, _ = _trained(spark, sf)
     names = D.products(spark, sf).select("product_id", "product_name")
     texts = D.documents(spark, sf).select("product_id", "product_name")
-    return C.predict_categories(model, names.unionByName(texts)).drop("product_name")
+    predicted = C.predict_categories(model, names).unionByName(
+        C.predict_categories(model, texts, max_length=None)
+    )
+    return predicted.drop("product_name")
 
 
 @query("classifier_evaluation")
