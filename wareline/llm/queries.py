@@ -10,12 +10,15 @@ from wareline.llm import (
     bpe,
     fingerprints,
     html_blocks,
+    line_dedup,
     near_duplicates,
     neighbours,
     packing,
+    periodic_runs,
     pii,
     quality,
     revisits,
+    spelling,
     toxicity,
 )
 from wareline.llm.common import fold, table
@@ -208,3 +211,42 @@ def vocabulary_path(name: str = "word_bpe_49k.json") -> str:
 @query("op9_minhash")
 def _minhash(spark, sf_dir):
     return near_duplicates.components(table(spark, sf_dir, "documents"), words=4)
+
+
+@query("op11_periodic_runs")
+def _periodic_runs(spark, sf_dir):
+    return periodic_runs.report(table(spark, sf_dir, "documents"))
+
+
+LINES_SQL = r"""
+WITH rows AS (
+  SELECT row_number() OVER () AS row_no, doc_id,
+    string_split(coalesce(text, ''), chr(10)) AS found FROM documents),
+cut AS (
+  SELECT row_no, doc_id, unnest(found) AS line, generate_subscripts(found, 1) AS pos FROM rows),
+keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM cut),
+blocked AS (
+  SELECT k, max(doc_id) AS owner FROM keyed WHERE length(k) >= 20
+  GROUP BY k HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+  SELECT m.*, coalesce(m.doc_id <> b.owner, false) AS gone
+  FROM keyed m LEFT JOIN blocked b ON b.k = m.k)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines,
+  count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), ''))
+    AS kept_sha256
+FROM marked GROUP BY row_no"""
+
+
+@query("op12_line_dedup", LINES_SQL)
+def _line_dedup(spark, sf_dir):
+    cleaned = line_dedup.dedup(table(spark, sf_dir, "documents"))
+    kept = F.sha2(F.col("text"), 256).alias("kept_sha256")
+    return cleaned.select("doc_id", "n_lines", "n_dropped", kept)
+
+
+@query("op13_spelling_variants")
+def _spelling(spark, sf_dir):
+    return spelling.variants(table(spark, sf_dir, "documents"))
