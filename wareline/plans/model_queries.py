@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from wareline.operators import classify as C
 from wareline.operators import monitor as M
-from wareline.operators.features import fit_features
+from wareline.operators.postings import corpus_terms, unknown_share
 from wareline.plans import adapters as D
 from wareline.plans.catalog_queries import SNAPSHOT, redact_sql, snapshot
 from wareline.plans.registry import query, with_ctes
@@ -289,7 +289,7 @@ def _(spark, sf):
         terms_sql("q", "names", ()),
         """
 vocabulary AS (
-  SELECT term FROM d_counts GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 20000),
+  SELECT DISTINCT term FROM d_counts),
 known AS (SELECT DISTINCT id FROM q_counts JOIN vocabulary USING (term))""",
         select="""
 SELECT 1 - (SELECT count(*) FROM known) / count(*) AS unknown_vocabulary_fraction
@@ -299,5 +299,5 @@ FROM pages""",
 def _(spark, sf):
     """Share of pages without a term known from the documents."""
     documents = D.table(spark, sf, "documents")
-    features, _ = fit_features(documents, F.col("text"), ["doc_id"])
-    return C.unknown_vocabulary(features, D.table(spark, sf, "pages"), "html")
+    known = corpus_terms(documents, F.col("text"))
+    return unknown_share(known, D.table(spark, sf, "pages"), "html")

@@ -51,7 +51,7 @@ def lexical_sql(docs: str, queries: str) -> list[str]:
         """
 vocabulary AS (
   SELECT term, ln((1 + (SELECT count(*) FROM corpus)) / (1 + count(*))) + 1 AS idf
-  FROM d_counts GROUP BY term ORDER BY sum(tf) DESC, term LIMIT 20000),
+  FROM d_counts GROUP BY term),
 d_raw AS (SELECT id, term, tf * idf AS w FROM d_counts JOIN vocabulary USING (term)),
 q_raw AS (SELECT id, term, tf * idf AS w FROM q_counts JOIN vocabulary USING (term)),
 doc_weights AS (SELECT id, term, w / sqrt(sum(w * w) OVER (PARTITION BY id)) AS w FROM d_raw),
@@ -104,7 +104,7 @@ def category_questions(rows: DataFrame) -> DataFrame:
 )
 def _(spark, sf):
     """Whole documents ranked for every benchmark text."""
-    index = S.fit_search(D.documents(spark, sf), latent=False)
+    index = S.fit_lexical(D.documents(spark, sf))
     return S.lexical_search(index, benchmark_queries(spark, sf))
 
 
@@ -121,7 +121,7 @@ def _(spark, sf):
 def _(spark, sf):
     """Products ranked for one question per category, named ids first."""
     rows = snapshot(spark, sf)
-    index = S.fit_search(rows, latent=False)
+    index = S.fit_lexical(rows)
     return S.lexical_search(index, category_questions(rows))
 
 
@@ -143,7 +143,7 @@ def _(spark, sf):
     """Cited facts per category question, from the lexical ranking."""
     rows = snapshot(spark, sf)
     questions = category_questions(rows)
-    hits = S.lexical_search(S.fit_search(rows, latent=False), questions, 3)
+    hits = S.lexical_search(S.fit_lexical(rows), questions, 3)
     answers = S.facts_answers(rows, hits, questions)
     return answers.withColumn("source_ids", F.array_join("source_ids", ","))
 
