@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, functions as F
 
 from wareline.plans import adapters as D
 from wareline.plans.batch import run_batch
-from wareline.plans.event_queries import STATE_SQL, event_lines
+from wareline.plans.event_queries import EV, STATE_SQL, event_lines
 from wareline.plans.registry import query, with_ctes
 from wareline.schema import PRODUCT_COLUMNS
 from wareline.session import scratch_path
 from wareline.sources.store import CatalogStore, copy_snapshot
-from wareline.streaming.events import start_event_stream
+from wareline.streaming.events import outcomes, start_event_stream
 
 DROPS = 3
 
@@ -47,6 +47,24 @@ def _(spark, sf):
     )
 
 
+@query("stream_outcomes", with_ctes(EV, select="SELECT * FROM outcomes"))
+def _(spark, sf):
+    """What became of every event that came in as a stream."""
+    return outcomes(_streamed(spark, sf)).drop("v")
+
+
+@query(
+    "published_feed_page",
+    with_ctes(
+        EV,
+        select="SELECT * FROM feed WHERE change_id > 700 ORDER BY change_id LIMIT 500",
+    ),
+)
+def _(spark, sf):
+    """A page of the published feed; parts of other versions stay unread."""
+    return _streamed(spark, sf).page(700, 500).drop("changed_at")
+
+
 # The gate refuses a batch with inverted prices, so those prices are absent.
 SOUND_SQL = """
 sound AS (

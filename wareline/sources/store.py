@@ -1,21 +1,32 @@
-"""The published catalog: Parquet tables per version, announced last.
+"""The published catalog: Parquet parts, announced by one manifest per version.
 
-A version's tables are written first. One small descriptor row, written
-last, makes them visible together; without it they are leftovers that the
-next attempt overwrites. Readers follow the newest descriptor.
+Every attempt to make a version writes its tables to folders of its own. A
+manifest, put in place last and at once, names the parts of the version: the
+state tables, the log parts that it adds, and the batch that it applied. What no
+manifest names does not exist, so the leavings of a crashed attempt are never
+read, whatever version is published next.
+
+A version number is given once. Of two writers that want the same one, the
+slower starts again from the version of the faster. The manifests together are
+the ledger of applied batches, by stream: a batch that comes again, at once or
+after others, changes nothing.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, replace
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from wareline.operators.catalog import public_snapshot
 from wareline.operators.cleaning import ORD, guard_batch
-from wareline.operators.events import CatalogState, resolve_events
+from wareline.operators.events import CatalogState, feed_page, resolve_events
 from wareline.operators.merge import batch_changes, merge_batch, verify_batch
 from wareline.schema import (
     CHANGE_SCHEMA,
@@ -29,20 +40,29 @@ from wareline.schema import (
 
 @dataclass(frozen=True)
 class Descriptor:
-    """Which directories form the catalog. 0 means no such table yet."""
+    """One version: what it applied and which parts form it. Empty: no part.
+
+    Its changes have the ids after ``first_change`` up to ``revision``.
+    """
 
     version: int = 0
-    batch_id: str = ""
+    stream: str = ""
+    batch: str = ""
+    first_change: int = 0
     revision: int = 0
-    products: int = 0
-    inventory: int = 0
-    versions: int = 0
+    products: str = ""
+    inventory: str = ""
+    versions: str = ""
+    receipts: str = ""
+    changes: str = ""
+    outcomes: str = ""
+    rejected: str = ""
 
 
-_DESCRIPTOR = T.StructType(
+_MANIFEST = T.StructType(
     [
-        T.StructField(name, T.StringType() if name == "batch_id" else T.LongType())
-        for name in asdict(Descriptor())
+        T.StructField(name, T.StringType() if value == "" else T.LongType())
+        for name, value in asdict(Descriptor()).items()
     ]
 )
 _STATE = {
@@ -50,51 +70,80 @@ _STATE = {
     "inventory": INVENTORY_SCHEMA,
     "versions": VERSION_SCHEMA,
 }
+OUTCOME_SCHEMA = T.StructType(
+    [
+        T.StructField("ord", T.LongType()),
+        T.StructField("event_id", T.StringType()),
+        T.StructField("status", T.StringType()),
+        T.StructField("original_status", T.StringType()),
+        T.StructField("revision", T.LongType()),
+        T.StructField("v", T.LongType()),
+    ]
+)
+REJECTED_SCHEMA = T.StructType(
+    [
+        T.StructField("ord", T.LongType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
 _LOGS = {
     "receipts": RECEIPT_SCHEMA,
     "changes": CHANGE_SCHEMA,
+    "outcomes": OUTCOME_SCHEMA,
+    "rejected": REJECTED_SCHEMA,
 }
+#: The stream of batch loads.
+LOADS = "loads"
 
 
 class CatalogStore:
-    """One catalog below ``root``. There must be one writer at a time."""
+    """One catalog below ``root``, for any number of readers and writers."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _path(self, name: str, version: int | None = None) -> str:
-        base = f"{self.root}/{name}"
-        return base if version is None else f"{base}/v={version}"
+    def _path(self, name: str, part: str) -> str:
+        return f"{self.root}/{name}/{part}"
 
-    def current(self) -> Descriptor:
-        """The newest published version."""
+    def manifests(self) -> DataFrame:
+        """One small row per published version."""
         try:
-            published = self.spark.read.schema(_DESCRIPTOR).json(self._path("published"))
-            row = published.orderBy(F.desc("version")).first()
+            return self.spark.read.schema(_MANIFEST).json(f"{self.root}/published")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            row = None
+            return empty_table(self.spark, _MANIFEST)
+
+    def current(self) -> Descriptor:
+        """The newest published version."""
+        row = self.manifests().orderBy(F.desc("version")).first()
         return Descriptor(**row.asDict()) if row else Descriptor()
 
+    def applied(self, stream: str, batch: str) -> Descriptor | None:
+        """The version that applied a batch of a stream."""
+        found = self.manifests().where((F.col("stream") == stream) & (F.col("batch") == batch))
+        row = found.orderBy("version").first()
+        return Descriptor(**row.asDict()) if row else None
+
     def table(self, name: str, at: Descriptor) -> DataFrame:
         """A state table as of a published version."""
-        version = getattr(at, name)
-        if not version:
+        part = getattr(at, name)
+        if not part:
             return empty_table(self.spark, _STATE[name])
-        return self.spark.read.schema(_STATE[name]).parquet(self._path(name, version))
+        return self.spark.read.schema(_STATE[name]).parquet(self._path(name, part))
+
+    def _parts(self, name: str, wanted) -> DataFrame:
+        """The parts of a log that the manifests ``wanted`` name, and no others."""
+        named = self.manifests().where(wanted & (F.col(name) != "")).select("version", name)
+        paths = [self._path(name, row[name]) for row in named.orderBy("version").collect()]
+        if not paths:
+            return empty_table(self.spark, _LOGS[name])
+        return self.spark.read.schema(_LOGS[name]).parquet(*paths)
 
     def log(self, name: str, at: Descriptor) -> DataFrame:
         """An append-only table up to a published version."""
-        schema = _LOGS[name]
-        with_version = T.StructType([*schema.fields, T.StructField("v", T.LongType())])
-        try:
-            rows = self.spark.read.schema(with_version).parquet(self._path(name))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return empty_table(self.spark, schema)
-        return rows.where(F.col("v") <= at.version).select(schema.fieldNames())
+        return self._parts(name, F.col("version") <= at.version)
 
     def state(self, at: Descriptor | None = None) -> CatalogState:
         at = at or self.current()
@@ -105,9 +154,24 @@ class CatalogStore:
         )
 
     def changes(self) -> DataFrame:
-        """The change feed that readers page through."""
+        """The whole change feed."""
         return self.log("changes", self.current())
 
+    def changes_between(self, after: int, upto: int) -> DataFrame:
+        """Changes with ids above ``after`` up to ``upto``.
+
+        Ids have no gaps and each version knows its own, so only the parts that
+        hold some of these are opened.
+        """
+        wanted = (F.col("revision") > after) & (F.col("first_change") < upto)
+        return self._parts("changes", wanted).where(
+            (F.col("change_id") > after) & (F.col("change_id") <= upto)
+        )
+
+    def page(self, after: int = 0, limit: int = 100) -> DataFrame:
+        """Ordered page of the published feed behind a cursor."""
+        return feed_page(self.changes_between(after, after + limit), after, limit)
+
     def snapshot(self) -> tuple[int, DataFrame]:
         """Revision and public rows of the same published version."""
         at = self.current()
@@ -117,20 +181,53 @@ class CatalogStore:
     def product_count(self) -> int:
         return self.table("products", self.current()).count()
 
-    def _write(self, name: str, version: int, rows: DataFrame) -> DataFrame:
-        path = self._path(name, version)
-        rows.write.mode("overwrite").parquet(path)
-        return self.spark.read.schema(rows.schema).parquet(path)
-
-    def _publish(self, descriptor: Descriptor) -> Descriptor:
-        row = self.spark.range(1).select(
-            *[
-                F.lit(value).cast(_DESCRIPTOR[name].dataType).alias(name)
-                for name, value in asdict(descriptor).items()
-            ]
-        )
-        row.coalesce(1).write.mode("append").json(self._path("published"))
-        return descriptor
+    def _write(self, name: str, rows: DataFrame) -> str:
+        """A new part of a table; its name is not used again."""
+        part = uuid.uuid4().hex
+        rows.write.parquet(self._path(name, part))
+        return part
+
+    def _publish(self, descriptor: Descriptor) -> bool:
+        """Put the manifest in place unless its version has one already.
+
+        It is written aside and renamed, so it is there whole or not at all.
+        """
+        text = json.dumps(asdict(descriptor)) + "\n"
+        hadoop = self.spark._jvm.org.apache.hadoop.fs
+        settings = self.spark._jsc.hadoopConfiguration()
+        folder = hadoop.Path(f"{self.root}/published")
+        files = folder.getFileSystem(settings)
+        files.mkdirs(folder)
+        folder = files.makeQualified(folder)
+        aside = hadoop.Path(folder, f".{uuid.uuid4().hex}")
+        target = hadoop.Path(folder, f"{descriptor.version:012d}.json")
+        out = files.create(aside, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        keep = self.spark._sc._gateway.new_array(hadoop.Options.Rename, 1)
+        keep[0] = hadoop.Options.Rename.NONE
+        try:
+            hadoop.FileContext.getFileContext(files.getUri(), settings).rename(aside, target, keep)
+        except Py4JJavaError as error:
+            files.delete(aside, False)
+            if "FileAlreadyExistsException" not in str(error.java_exception):
+                raise
+            return False
+        return True
+
+    def _advance(
+        self, stream: str, batch: str, build: Callable[[Descriptor], Descriptor]
+    ) -> Descriptor:
+        """Publish what ``build`` makes of the newest version, once per batch."""
+        while True:
+            at = self.current()
+            if done := self.applied(stream, batch):
+                return done
+            made = replace(
+                build(at), version=at.version + 1, stream=stream, batch=batch, first_change=at.revision
+            )
+            if self._publish(made):
+                return made
 
     def load_batch(self, batch: DataFrame, batch_id: str, ord_col: str = ORD) -> int:
         """Upsert a prepared batch and return its verified rows.
@@ -138,53 +235,46 @@ class CatalogStore:
         The merged table is read back and compared before it is announced.
         """
         rows = guard_batch(batch)
-        at = self.current()
-        if at.batch_id == batch_id:
-            return rows
-        version = at.version + 1
-        target = self.table("products", at)
-        merged = self._write("products", version, merge_batch(target, batch))
-        verified = verify_batch(merged, batch, rows)
-        self._write(
-            "changes", version, batch_changes(target, batch, at.revision, ord_col)
-        )
-        self._publish(
-            replace(
-                at,
-                version=version,
-                batch_id=batch_id,
-                revision=at.revision + rows,
-                products=version,
+
+        def build(at: Descriptor) -> Descriptor:
+            target = self.table("products", at)
+            products = self._write("products", merge_batch(target, batch))
+            made = replace(at, products=products, receipts="", outcomes="", rejected="")
+            verify_batch(self.table("products", made), batch, rows)
+            changes = batch_changes(target, batch, at.revision, ord_col)
+            return replace(
+                made, revision=at.revision + rows, changes=self._write("changes", changes)
             )
-        )
-        return verified
 
-    def apply_events(self, events: DataFrame, batch_id: str) -> Descriptor:
+        self._advance(LOADS, batch_id, build)
+        return rows
+
+    def apply_events(
+        self,
+        events: DataFrame,
+        batch_id: str,
+        stream: str = "events",
+        rejected: DataFrame | None = None,
+    ) -> Descriptor:
         """Resolve valid events against the published state and publish.
 
-        A replayed batch id is already contained and changes nothing.
+        ``rejected`` lines are kept with the version. A batch that the stream
+        has had applied before changes nothing.
         """
-        at = self.current()
-        if at.batch_id == batch_id:
-            return at
-        version = at.version + 1
-        result = resolve_events(events, self.state(at))
-        # Independent tables of one version: their jobs may overlap.
-        names = ["changes", "receipts", "outcomes", *_STATE]
-        with ThreadPoolExecutor(len(names)) as pool:
-            feed, *_ = pool.map(
-                lambda name: self._write(name, version, getattr(result, name)), names
-            )
-        return self._publish(
-            Descriptor(
-                version=version,
-                batch_id=batch_id,
-                revision=at.revision + feed.count(),
-                products=version,
-                inventory=version,
-                versions=version,
-            )
-        )
+
+        def build(at: Descriptor) -> Descriptor:
+            result = resolve_events(events, self.state(at))
+            rows = {name: getattr(result, name) for name in ("changes", "receipts", *_STATE)}
+            rows["outcomes"] = result.outcomes.withColumn("v", F.lit(at.version + 1))
+            if rejected is not None:
+                rows["rejected"] = rejected
+            # Independent tables of one version: their jobs may overlap.
+            with ThreadPoolExecutor(len(rows)) as pool:
+                parts = dict(zip(rows, pool.map(lambda name: self._write(name, rows[name]), rows)))
+            fed = self.spark.read.schema(CHANGE_SCHEMA).parquet(self._path("changes", parts["changes"]))
+            return Descriptor(revision=at.revision + fed.count(), **parts)
+
+        return self._advance(stream, batch_id, build)
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
