@@ -115,3 +115,17 @@ def test_connected_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(50, 49), (60, 60)], "a long, b long")
     got = {r.node: r.root for r in N.connected(links).collect()}
     assert got == {**{i: 0 for i in range(1, 41)}, 50: 49}
+
+
+def test_connected_finds_the_smallest_node_of_long_chains_and_cliques(spark):
+    rng = random.Random(12)
+    chain = list(range(1000, 1064))
+    rng.shuffle(chain)
+    links = list(zip(chain, chain[1:])) + [(a, b) for a in range(20, 28) for b in range(20, 28)]
+    links += [(500, i) for i in range(501, 540)] + [(539, 3), (7, 7), (8, 9), (9, 8)]
+    df = spark.createDataFrame(links, "a long, b long")
+    want = {i: 1000 for i in chain} | {i: 20 for i in range(20, 28)}
+    want |= {i: 3 for i in (3, *range(500, 540))} | {8: 8, 9: 8}
+    got = {r.node: r.root for r in N.connected(df).collect()}
+    assert {k: got.get(k, k) for k in want} == want and got.keys() <= want.keys()
+    assert N.connected(df.limit(0)).count() == 0

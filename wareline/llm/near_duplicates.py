@@ -35,7 +35,7 @@ from functools import reduce
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 from pyspark.sql import types as T
 
 from wareline.llm.common import map_batches, texts_of
@@ -246,16 +246,14 @@ def confirmed(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
 def connected(links: DataFrame) -> DataFrame:
     """(node, root): every linked node and the smallest node it reaches.
 
-    Stars towards the larger and the smaller neighbours in turn, until nothing
-    changes; each turn is written, so none is computed twice.
+    Stars towards the larger and the smaller neighbours in turn. Each turn is
+    written once, and counted while it is written. It was the last if every
+    node has one neighbour below it and none of these has one itself: then all
+    hang on the smallest node of their component.
     """
-    edges = written(
-        links.where("a <> b")
-        .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct(),
-        "links",
+    edges = links.where("a <> b").select(
+        F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")
     )
-    seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("least"))
@@ -263,21 +261,22 @@ def connected(links: DataFrame) -> DataFrame:
             both.where("v > u")
             .join(least, "u")
             .select(F.col("v").alias("u"), F.least("u", "least").alias("v"))
-            .distinct()
         )
         least = large.groupBy("u").agg(F.min("v").alias("least"))
-        small = large.join(least, "u")
-        edges = written(
-            small.where("v <> least")
-            .select(F.col("v").alias("u"), F.col("least").alias("v"))
-            .unionByName(least.select("u", F.col("least").alias("v")))
-            .distinct(),
-            "links",
+        across = (
+            large.join(least, "u")
+            .where("v <> least")
+            .select(F.col("v").alias("u"), F.col("least").alias("v"), F.lit(True).alias("moved"))
         )
-        mark = edges.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
-        if mark == seen:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-        seen = mark
+        down = least.select("u", F.col("least").alias("v"), F.lit(False).alias("moved"))
+        turned = across.unionByName(down).groupBy("u", "v").agg(F.max("moved").alias("moved"))
+        seen = Observation()
+        counted = F.sum(F.col("moved").cast("long")).alias("moved")
+        edges = written(turned.observe(seen, counted), "links").select("u", "v")
+        if not seen.get["moved"]:
+            below = edges.select(F.col("u").alias("v"))
+            if edges.join(below, "v", "left_semi").isEmpty():
+                return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
 def _likeliest(pairs: DataFrame, most: int) -> DataFrame:

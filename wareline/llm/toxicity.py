@@ -249,7 +249,10 @@ def fit_texts(
 
 def fit(docs: DataFrame, labels: DataFrame, keep, max_rows: int = MAX_ROWS) -> ToxicityModel:
     """Fit on at most ``max_rows`` rows a class whose id passes ``keep``."""
-    return fit_texts(*labelled_sample(docs, labels, "toxic", keep, max_rows))
+    model = fit_texts(*labelled_sample(docs, labels, "toxic", keep, max_rows))
+    # Grams are cut in the fit alone.
+    _grams.cache_clear()
+    return model
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col="doc_id", text_col="text") -> DataFrame:
