@@ -87,3 +87,30 @@ def test_rows_stay_whole(spark, module, label, keep):
         r.predicted == (0 if module is toxicity else 1) for r in got)
     empty = spark.createDataFrame([], SCHEMA)
     assert module.score(empty, module.fit(empty, labels, keep=lambda c: c > 0)).count() == 0
+
+
+def test_near_copies_are_left_out_and_texts_that_share_a_phrase_are_not():
+    from tests.llm.fixtures import words
+    from wareline.llm.common import one_of_each
+
+    phrase = "aaa rarest phrase of all"
+    one, two = (" ".join([phrase, *words(n, 80, f"k{n}x")]) for n in (1, 2))
+    near = one.replace("k1x", "K1X").replace(" ", "  ", 3) + " more"
+    assert one_of_each([one, two, near, one, "", "", "short"]) == [one, two, "", "short"]
+
+
+def test_sample_is_bounded_whatever_ids_repeat(spark):
+    from wareline.llm.common import labelled_sample
+
+    docs = spark.createDataFrame(
+        [(1, f"text {i:03d}") for i in range(500)] + [(i, f"other {i}") for i in range(2, 40)],
+        "doc_id long, text string",
+    )
+    labels = spark.createDataFrame(
+        [(i, i % 2, "x") for i in range(1, 40)] + [(3, 1, "x")] * 9, "doc_id long, toxic int, text string"
+    )
+    rows, totals = labelled_sample(docs, labels, "toxic", lambda i: i > 0, 50)
+    assert len(rows) == 39 and totals == (19, 20)
+    assert ("text 000", 1) in rows and not any(t == "text 001" for t, _ in rows)
+    few, _ = labelled_sample(docs, labels, "toxic", lambda i: i > 0, 5)
+    assert len(few) == 10 and sum(label for _, label in few) == 5

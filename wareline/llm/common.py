@@ -65,7 +65,8 @@ def labelled_sample(
     The order is a hash of the id, so the sample does not hang on partitioning;
     ids are not part of what comes back. The counts are taken over all labels. ``keep`` filters ``doc_id``. Rows
     without an id, a text or a label, and labels other than 0 and 1, are left
-    out; of repeated labels of one document the largest holds.
+    out; of repeated labels of one document the largest holds, and of texts that
+    repeat an id the least. So no more than the bound reaches the driver.
     """
     wanted = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -83,25 +84,45 @@ def labelled_sample(
         docs.select("doc_id", F.col(text_col).alias("text"))
         .where(F.col("text").isNotNull())
         .join(F.broadcast(chosen[0].unionByName(chosen[1])), "doc_id")
+        .groupBy("doc_id", "at", "label")
+        .agg(F.min("text").alias("text"))
         .collect()
     )
     rows.sort(key=lambda r: (r.at, r.doc_id, r.text))
     return [(r.text, r.label) for r in rows], (total.get(0, 0), total.get(1, 0))
 
 
-def one_of_each(texts: list[str]) -> list[str]:
-    """``texts`` without near copies: one per least hash of their 3-word runs."""
-    seen, out = set(), []
+def one_of_each(texts: list[str], alike: float = 0.5) -> list[str]:
+    """``texts`` without near copies of earlier ones.
+
+    Texts that share one of eight minima over their 3-word runs are compared in
+    full: near copies share at least ``alike`` of all their runs.
+    """
+    kept: list[np.ndarray] = []
+    seen: dict[tuple[int, int], list[int]] = {}
+    out = []
     for text in texts:
         words = text.lower().encode("utf-8", "replace").split()
-        runs = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
-        key = min(zlib.crc32(run) for run in runs)
-        if key not in seen:
-            seen.add(key)
-            out.append(text)
+        runs = [zlib.crc32(b" ".join(words[i : i + 3])) for i in range(max(1, len(words) - 2))]
+        own = np.unique(np.array(runs, dtype=np.uint64))
+        keys = [(i, int((own * _ODD[i] >> np.uint64(20)).min())) for i in range(len(_ODD))]
+        if any(_jaccard(own, kept[n]) >= alike for n in {n for k in keys for n in seen.get(k, ())}):
+            continue
+        for key in keys:
+            seen.setdefault(key, []).append(len(kept))
+        kept.append(own)
+        out.append(text)
     return out
 
 
+_ODD = np.random.default_rng(11).integers(1 << 40, 1 << 63, 8).astype(np.uint64) * 2 + 1
+
+
+def _jaccard(left: np.ndarray, right: np.ndarray) -> float:
+    shared = len(np.intersect1d(left, right, assume_unique=True))
+    return shared / (len(left) + len(right) - shared)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1e-2, steps: int = 60):
     """Weights, bias last, of an L2-regularised logistic fit by Newton steps."""
     design = np.hstack([x, np.ones((len(x), 1))])
