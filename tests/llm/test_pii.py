@@ -110,3 +110,42 @@ def test_redact_leaves_no_base_span_and_all_else(spark, model):
 def test_scan_is_native(spark, model):
     plan = pii.summary(documents(spark), model)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("n", [255, 256, 257, 700])
+def test_blocks_of_spans_are_joined(spark, model, n):
+    text = " ".join(f"é{i}@b{i}.org, 10.0.{i % 300}.1" for i in range(n))
+    row = pii.summary(spark.createDataFrame([(1, text)], "doc_id int, text string"), model).first()
+    assert row.base_sha256 == hashlib.sha256(",".join(base(text)).encode()).hexdigest()
+
+
+def test_fifty_thousand_spans_in_one_text(spark, model):
+    import time
+
+    text = " ".join(f"user{i}@mail{i % 7}.example.org ü 4532 0151 1283 {i:04d} (at)" for i in range(50_000))
+    docs = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    few = spark.createDataFrame([(1, text[:2000])], "doc_id int, text string")
+    for run in (lambda d: pii.summary(d, model).first(), lambda d: pii.redact(d, model).first()):
+        run(few)
+        start = time.time()
+        got = run(docs)
+        assert time.time() - start < 20
+    want = base(text)
+    assert len(want) > 50_000 and base(got.text) == []
+    row = pii.summary(docs, model).first()
+    assert row.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+
+
+def test_looser_spans_that_touch_base_ones_go(spark, model):
+    texts = ["secret token=sk_live_0123456789abcdef@host.org x", "key: 4532015112830366abcdef0123", *TEXTS[:6]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    proposed = {r.doc_id: r.spans for r in pii.propose(docs).collect()}
+    for r in pii.find(docs, model).collect():
+        bases = [s for s in proposed[r.doc_id] if s.base]
+        loose = [
+            s for s in proposed[r.doc_id] if not s.base
+            and model.margin(s.features) >= model.thresholds.get(int(s.features[0]), 0.0)
+            and not any(b.start < s.end and s.start < b.end for b in bases)
+        ]
+        want = sorted((s.kind, s.start, s.end, s.base) for s in bases + loose)
+        assert [tuple(s) for s in r.spans] == want

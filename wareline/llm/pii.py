@@ -92,19 +92,50 @@ FEATURES = (
 )
 
 
-def _sums_before(steps: Column) -> Column:
-    """For each item the sum of all earlier ones, in blocks of 256."""
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, also where lambdas read it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _before(values: Column, start: int, join) -> Column:
+    """For each item ``join`` over ``start`` and all earlier items.
+
+    Blocks are scanned apart and then shifted by what lies before them, so no
+    array is copied once per item.
+    """
     block = 256
-    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-    blocks = F.transform(
-        F.sequence(F.lit(0), (F.size(steps) - 1).cast("int")),
-        lambda i: F.when(i % block == 0, total(F.slice(steps, i + 1, block))).otherwise(0),
-    )
-    return F.transform(
-        steps,
-        lambda _, i: total(F.slice(blocks, F.lit(1), i - i % block))
-        + total(F.slice(steps, i - i % block + 1, i % block)),
-    )
+
+    def scan(items, last):
+        grown = lambda done, x: F.concat(done, F.array(join(F.element_at(done, -1), last(x))))
+        return F.aggregate(items, F.array(F.lit(start)), grown)
+
+    def shifted(blocks, bases):
+        return F.flatten(
+            F.zip_with(
+                blocks,
+                F.slice(bases, F.lit(1), F.size(blocks)),
+                lambda own, base: F.transform(
+                    F.slice(own, F.lit(1), F.size(own) - 1), lambda x: join(base, x)
+                ),
+            )
+        )
+
+    def scanned(items):
+        starts = F.sequence(F.lit(1), F.size(items), F.lit(block))
+        blocks = F.transform(
+            starts, lambda at: scan(F.slice(items, at, F.lit(block)), lambda x: x)
+        )
+        return _let(
+            blocks,
+            lambda own: _let(scan(own, lambda x: F.element_at(x, -1)), lambda bases: shifted(own, bases)),
+        )
+
+    none = F.array().cast("array<int>")
+    return _let(values, lambda items: F.when(F.size(items) > 0, scanned(items)).otherwise(none))
+
+
+def _plus(left: Column, right: Column) -> Column:
+    return left + right
 
 
 def _luhn(digits: Column) -> Column:
@@ -133,18 +164,18 @@ def _passes(kind: str, found: Column) -> Column:
     return F.lit(True)
 
 
-def _spans(text: Column, made: Generator, found: Column, pieces: Column) -> Column:
+def _spans(made: Generator, found: Column, pieces: Column, unit) -> Column:
     """Structs of the matches, with the features of those that need a score."""
     gaps = F.slice(pieces, F.lit(1), F.size(found))
-    steps = F.zip_with(gaps, found, lambda gap, hit: F.length(gap) + F.length(hit))
+    steps = F.zip_with(gaps, found, lambda gap, hit: unit(gap) + unit(hit))
     placed = F.arrays_zip(
-        _sums_before(steps).alias("before"), gaps.alias("gap"), found.alias("hit")
+        _before(steps, 0, _plus).alias("before"), gaps.alias("gap"), found.alias("hit")
     )
 
     def span(m):
         hit = m["hit"]
-        start = m["before"] + F.length(m["gap"])
-        end = start + F.length(hit)
+        start = m["before"] + unit(m["gap"])
+        end = start + unit(hit)
         count = lambda chars: F.length(F.regexp_replace(hit, f"[^{chars}]", ""))
         context = F.right(m["gap"], F.lit(CONTEXT))
         values = [
@@ -183,8 +214,11 @@ def _spans(text: Column, made: Generator, found: Column, pieces: Column) -> Colu
 SPAN = "array<struct<kind:int,start:int,end:int,base:boolean,features:array<double>>>"
 
 
-def propose(docs: DataFrame, text_col="text", out="spans") -> DataFrame:
-    """``docs`` with an array of all candidate spans."""
+def propose(docs: DataFrame, text_col="text", out="spans", unit=F.length) -> DataFrame:
+    """``docs`` with an array of all candidate spans.
+
+    Places count code points, or bytes if ``unit`` is ``F.octet_length``.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     names = [f"__{part}_{i}" for part in ("hit", "gap", "span") for i in range(len(GENERATORS))]
     hits, gaps, spans = (names[i : i + len(GENERATORS)] for i in range(0, len(names), len(GENERATORS)))
@@ -206,7 +240,7 @@ def propose(docs: DataFrame, text_col="text", out="spans") -> DataFrame:
     placed = found.withColumns(
         {
             span: F.when(
-                F.size(hit) > 0, _spans(text, g, F.col(hit), F.col(gap)).cast(SPAN)
+                F.size(hit) > 0, _spans(g, F.col(hit), F.col(gap), unit).cast(SPAN)
             ).otherwise(F.array().cast(SPAN))
             for span, hit, gap, g in zip(spans, hits, gaps, GENERATORS)
         }
@@ -430,26 +464,37 @@ def fit(spark: SparkSession) -> Boosted:
     return train(*example_features(spark))
 
 
-def find(docs: DataFrame, model: Boosted, text_col="text", out="spans") -> DataFrame:
+def find(docs: DataFrame, model: Boosted, text_col="text", out="spans", unit=F.length) -> DataFrame:
     """``docs`` with the selected spans, by kind and start.
 
-    A looser span that touches a base one of its kind says nothing new and goes.
+    A looser span that touches a base one says nothing new and goes. It does so
+    if the furthest end of the base spans that begin before its own end lies
+    behind its start, which one pass over all in order of these places tells.
     """
-    proposed = propose(docs, text_col, out)
-    base = F.filter(out, lambda s: s["base"])
-    more = F.filter(
-        out,
-        lambda s: ~s["base"]
-        & model.selects(s["features"])
-        & ~F.exists(base, lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])),
-    )
-    plain = lambda spans: F.transform(
-        spans, lambda s: F.struct(s["kind"], s["start"], s["end"], s["base"])
-    )
-    chosen = F.when(
-        F.size(out) > 0, F.array_sort(F.concat(plain(base), plain(more)))
-    ).otherwise(F.array().cast("array<struct<kind:int,start:int,end:int,base:boolean>>"))
-    return proposed.withColumn(out, chosen)
+    proposed = propose(docs, text_col, out, unit)
+
+    def place(s):
+        plain = F.struct(s["kind"], s["start"], s["end"], s["base"])
+        return F.struct(
+            F.when(s["base"], s["start"]).otherwise(s["end"]).alias("key"),
+            F.when(s["base"], 1).otherwise(0).alias("turn"),
+            F.when(s["base"], s["end"]).otherwise(0).alias("reach"),
+            plain.alias("span"),
+        )
+
+    able = F.filter(out, lambda s: s["base"] | model.selects(s["features"]))
+
+    def chosen(ordered):
+        reached = _before(F.transform(ordered, lambda p: p["reach"]), 0, F.greatest)
+        marked = F.zip_with(
+            ordered, reached, lambda p, far: F.struct(p["span"].alias("span"), far.alias("far"))
+        )
+        kept = F.filter(marked, lambda p: p["span"]["base"] | (p["far"] <= p["span"]["start"]))
+        return F.array_sort(F.transform(kept, lambda p: p["span"]))
+
+    none = F.array().cast("array<struct<kind:int,start:int,end:int,base:boolean>>")
+    found = _let(F.array_sort(F.transform(able, place)), chosen)
+    return proposed.withColumn(out, F.when(F.size(out) > 0, found).otherwise(none))
 
 
 def spans_text(spans: Column) -> Column:
@@ -492,50 +537,47 @@ def redact(docs: DataFrame, model: Boosted, text_col="text", chars_col="n_chars"
     spans, null or not, stays as it is; all columns stay.
     """
     mark = "__spans"
-    found = find(docs, model, text_col, mark)
-    text = F.col(text_col)
+    # Places in bytes: a part of bytes is cut without a walk from the start.
+    found = find(docs, model, text_col, mark, F.octet_length)
+    text = F.col(_quoted(text_col))
     by_start = F.array_sort(
         F.transform(mark, lambda s: F.struct(s["start"], s["end"], s["kind"]))
     )
-    empty = F.array().cast("array<struct<start:int,end:int,kind:int>>")
-
-    def merge(done, s):
-        last = F.element_at(done, -1)
-        joined = F.struct(
-            last["start"].alias("start"),
-            F.greatest(last["end"], s["end"]).alias("end"),
-            last["kind"].alias("kind"),
-        )
-        return F.when(
-            (F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] > s["start"]),
-            F.concat(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), F.array(joined)),
-        ).otherwise(F.concat(done, F.array(s)))
-
-    merged = "__merged"
     name = F.array(*[F.lit(f"[{k.upper()}]") for k in KINDS])
-    found = found.withColumn(
-        merged, F.when(F.size(mark) > 0, F.aggregate(by_start, empty, merge)).otherwise(empty)
-    )
-    pieces = F.transform(
-        merged,
-        lambda s, i: F.concat(
-            F.substring(
-                text,
-                F.coalesce(F.get(F.col(merged), i - 1)["end"], F.lit(0)) + 1,
-                s["start"] - F.coalesce(F.get(F.col(merged), i - 1)["end"], F.lit(0)),
+
+    def replaced_in(content, spans, reached):
+        # A span that begins within an earlier one is part of it.
+        pieces = F.zip_with(
+            spans,
+            reached,
+            lambda s, far: F.when(
+                far <= s["start"],
+                F.concat(
+                    F.substring(content, far + 1, s["start"] - far).cast("string"),
+                    F.get(name, s["kind"]),
+                ),
+            ).otherwise(""),
+        )
+        end = F.array_max(F.transform(spans, lambda s: s["end"]))
+        tail = F.substring(content, end + 1, F.octet_length(content)).cast("string")
+        return F.concat(F.array_join(pieces, ""), tail)
+
+    ends = lambda spans: F.transform(spans, lambda s: s["end"])
+    redacted = _let(
+        by_start,
+        lambda spans: _let(
+            _before(ends(spans), 0, F.greatest),
+            lambda reached: _let(
+                text.cast("binary"), lambda content: replaced_in(content, spans, reached)
             ),
-            F.get(name, s["kind"]),
         ),
     )
-    tail = F.expr(f"substring({_quoted(text_col)}, element_at({merged}, -1).end + 1)")
-    replaced = F.when(
-        F.size(merged) > 0, F.concat(F.array_join(pieces, ""), tail)
-    ).otherwise(text)
+    replaced = F.when(F.size(mark) > 0, redacted).otherwise(text)
     clean = found.withColumn(text_col, replaced)
     if chars_col in docs.columns:
         clean = clean.withColumn(
             chars_col,
-            F.when(F.size(merged) > 0, F.length(F.col(text_col)).cast(docs.schema[chars_col].dataType))
+            F.when(F.size(mark) > 0, F.length(F.col(_quoted(text_col))).cast(docs.schema[chars_col].dataType))
             .otherwise(F.col(chars_col)),
         )
     return clean.select(*[F.col(_quoted(c)) for c in docs.columns])
