@@ -40,6 +40,7 @@ from wareline.session import written
 LEAST_CHARS, LEAST_COUNT, RATIO = 6, 5, 5
 #: Code points of words indexed together.
 SHARD_CHARS = 1 << 16
+SHARDS_PER_TASK = 8
 #: Distinct words counted in a task before they are passed on.
 COUNT_WORDS = 1 << 18
 #: States extended at once; bounds the memory of a search.
@@ -347,6 +348,9 @@ def near_words(
         )
 
     at = ["shard", "block"]
+    # By number: a shard of few bytes is much work, so none are joined by size.
+    parts = 1 + shards // SHARDS_PER_TASK
+    queries, targets = queries.repartition(parts, *at), targets.repartition(parts, *at)
     met = queries.groupBy(at).cogroup(targets.groupBy(at))
     return met.applyInArrow(search, "word string, near string").distinct()
 
