@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from wareline.operators import artifact as A
 from wareline.operators import classify as C
 from wareline.operators import monitor as M
 from wareline.operators.postings import corpus_terms, unknown_share
@@ -11,7 +12,7 @@ from wareline.plans import adapters as D
 from wareline.plans.catalog_queries import SNAPSHOT, redact_sql, snapshot
 from wareline.plans.registry import query, with_ctes
 from wareline.plans.text_queries import terms_sql
-from wareline.session import written
+from wareline.session import scratch_path, written
 
 LABELLED = f"""
 usable AS (
@@ -262,6 +263,93 @@ def _trained(spark, sf):
     return C.train_classifier(C.stratified_split(rows))
 
 
+NAMED_SQL = """
+named AS (
+  SELECT * REPLACE (concat_ws('|', upper(noun[1]) || lower(noun[2:]), category) AS category)
+  FROM (SELECT *, string_split(split_part(product_name, ' Brand', 1), ' ')[-1] AS noun
+    FROM products))"""
+NAMED_LABELLED = LABELLED.replace("FROM products", "FROM named")
+
+
+def _saved(spark, sf) -> tuple[C.CategoryModel, str]:
+    """A model trained on the products, and the folder it was saved to."""
+    kept, excluded = C.training_rows(_named(spark, sf))
+    rows, path = written(kept, "training"), scratch_path(spark, "model")
+    C.require_labels(rows)
+    model, frames = C.train_classifier(C.stratified_split(rows))
+    A.save_model(model, path, rows, frames, excluded)
+    return model, path
+
+
+@query(
+    "model_report",
+    with_ctes(
+        D.PRODUCTS_SQL,
+        NAMED_SQL,
+        NAMED_LABELLED,
+        SPLIT,
+        """
+trained AS (SELECT label, count(*) AS rows FROM parted WHERE split = 'train' GROUP BY label),
+majority AS (SELECT label FROM trained ORDER BY rows DESC, label LIMIT 1)""",
+        select="""
+SELECT label, rows, round(rows / (SELECT sum(rows) FROM trained), 12) AS share,
+  (SELECT count(*) FROM parted WHERE split = 'validation') AS validation_rows,
+  (SELECT count(*) FROM parted WHERE split = 'test') AS test_rows,
+  (SELECT round(avg(CASE WHEN p.label = m.label THEN 1.0::DOUBLE ELSE 0 END), 12)
+    FROM parted p, majority m WHERE split = 'test') AS baseline_accuracy,
+  (SELECT CAST(sum(CAST('0x' || substr(md5(concat_ws(chr(31), product_id, product_name,
+    label)), 1, 15) AS BIGINT)::HUGEINT) AS VARCHAR) FROM labelled) AS data_fingerprint
+FROM trained""",
+    ),
+)
+def _(spark, sf):
+    """What was saved with a model: its labels, the split, the baseline, its data."""
+    _, path = _saved(spark, sf)
+    about = A.describe(spark, path)
+    sizes = A.report_table(spark, path, "split").agg(
+        *[
+            F.count_if(F.col("split") == name).alias(f"{name}_rows")
+            for name in ("validation", "test")
+        ]
+    )
+    baseline = A.report_table(spark, path, "baseline").select(F.round("accuracy", 12))
+    return A.training_distribution(spark, path).select(
+        "label",
+        "rows",
+        F.round("share", 12).alias("share"),
+        sizes.select("validation_rows").scalar().alias("validation_rows"),
+        sizes.select("test_rows").scalar().alias("test_rows"),
+        baseline.scalar().alias("baseline_accuracy"),
+        F.lit(about["data_fingerprint"]).alias("data_fingerprint"),
+    )
+
+
+@query(
+    "predictions_from_saved_model",
+    with_ctes(
+        D.PRODUCTS_SQL,
+        select="""
+SELECT product_id, true AS category_agrees, true AS probabilities_agree, false AS abstained
+FROM products""",
+    ),
+)
+def _(spark, sf):
+    """Every product name predicted by a saved and reloaded model, held against
+    the model as it was trained."""
+    model, path = _saved(spark, sf)
+    names = D.products(spark, sf).select("product_id", "product_name")
+    fresh = C.predict_categories(model, names).select(
+        "product_id", F.struct("category", "probabilities").alias("fresh")
+    )
+    loaded = C.predict_categories(A.load_model(spark, path), names)
+    return loaded.join(fresh, "product_id").select(
+        "product_id",
+        F.col("category").eqNullSafe(F.col("fresh.category")).alias("category_agrees"),
+        F.col("probabilities").eqNullSafe(F.col("fresh.probabilities")).alias("probabilities_agree"),
+        "abstained",
+    )
+
+
 @query("classifier_predictions")
 def _(spark, sf):
     """Category predicted for every product name and every whole document."""
