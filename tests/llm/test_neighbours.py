@@ -59,3 +59,25 @@ def test_perturbed_cells_rise_in_cost():
     cost = [sum(np.where(c < 0, rest**2, 0)) + sum(np.where(c > 0, (1 - rest) ** 2, 0)) for c in cells]
     assert len({tuple(c) for c in cells}) == 27
     assert cost == sorted(cost)
+
+
+def test_rerank_is_exact_with_ties_and_far_from_the_origin():
+    rng = np.random.default_rng(8)
+    cases = {
+        "binary": np.unique(rng.integers(0, 2, size=(4000, 24)).astype(float), axis=0),
+        "far": 1e5 + rng.normal(size=(3000, 8)) * 1e-3,
+        "outlier": np.vstack([rng.normal(size=(500, 3)), [[1e150, 0, 0]]]),
+        "overflow": np.vstack([rng.normal(size=(50, 3)), [[1e300, 0, 0]]]),
+        "few": rng.normal(size=(3, 2)),
+    }
+    for name, vectors in cases.items():
+        vectors = rng.permutation(vectors)
+        tile = neighbours._Tile((0, 0, 0), 10)
+        tile.queries = [(i, v) for i, v in enumerate(vectors[:600])]
+        with np.errstate(all="ignore"):
+            for start in range(0, len(vectors), 1100):
+                part = vectors[start : start + 1100]
+                tile.meet(part, [[start + i] for i in range(len(part))])
+            for q, own in zip(vectors[:600], tile.best):
+                d = np.sqrt(((vectors - q) ** 2).sum(axis=1))
+                assert own == sorted(zip(d.tolist(), range(len(d))))[:11], name

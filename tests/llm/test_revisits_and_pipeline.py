@@ -17,7 +17,11 @@ def test_canonical_url(spark):
         "https://m.example.com/a": "example.com/a",
         "example.com": "example.com",
         "http://example.com/A?ref=1": "example.com/A",
-        "": "",
+        "http://example.com/?": "example.com",
+        "": None,
+        "  ": None,
+        "http://": None,
+        "https://#top": None,
     }
     df = spark.createDataFrame([(u,) for u in cases], "url string")
     got = {r.url: r.page for r in df.withColumn("page", V.canonical_url(F.col("url"))).collect()}
@@ -37,12 +41,14 @@ def test_latest_earlier_response(spark):
         (8, "revisit", None, 30, None, {"etag": '"1"'}),
         (9, "revisit", u, None, None, {"etag": '"1"'}),
         (10, "response", u, 40, "d3", None),
+        (11, "response", " ", 1, "d4", {"etag": '"1"'}),
+        (12, "revisit", "http://", 2, None, {"etag": '"1"'}),
     ]
     got = {r.record_id: r for r in V.resolve(records(spark, rows)).collect()}
     assert {i: (r.status, r.refers_to, r.digest) for i, r in got.items()} == {
         3: ("resolved", 2, "d2"), 4: ("validator_mismatch", 1, None), 5: ("no_response", None, None),
         6: ("resolved", 2, "d2"), 7: ("validator_mismatch", 2, None), 8: ("no_response", None, None),
-        9: ("no_response", None, None)}
+        9: ("no_response", None, None), 12: ("no_response", None, None)}
     assert got[3].headers == {"etag": 'W/"2"', "date": "now", "last-modified": "m"}
     assert V.resolve(records(spark, [])).count() == 0
 

@@ -323,20 +323,31 @@ class _Tile:
         if self.matrix is None:
             self.matrix = np.array([v for _, v in self.queries])
             self.best = [[] for _ in self.queries]
-        squares = (vectors * vectors).sum(axis=1)
         most = self.k + 1
+        first = np.array([own[0] for own in ids])
+        # Rough distances are taken from the middle of the batch, so that vectors far from the
+        # origin do not cancel. All rows that rounding may have put behind the last wanted one
+        # are ranked exactly; of equal distances those of smaller ids go on.
+        middle = vectors.mean(axis=0)
+        moved = vectors - middle
+        squares = (moved * moved).sum(axis=1)
+        unit = 8 * (vectors.shape[1] + 8) * np.finfo(float).eps
         for start in range(0, len(self.matrix), 512):
-            q = self.matrix[start : start + 512]
-            rough = squares[None] - 2.0 * (q @ vectors.T)
-            near = (
-                np.argpartition(rough, most + 8, axis=1)[:, : most + 8]
-                if rough.shape[1] > most + 8
-                else np.broadcast_to(np.arange(rough.shape[1]), rough.shape)
-            )
-            exact = np.sqrt(((vectors[near] - q[:, None]) ** 2).sum(axis=2))
-            for i in range(len(q)):
+            asked = self.matrix[start : start + 512]
+            q = asked - middle
+            rough = squares[None] - 2.0 * (q @ moved.T)
+            if rough.shape[1] > most:
+                last = np.partition(rough, most - 1, axis=1)[:, most - 1]
+                longest = np.sqrt((q * q).sum(axis=1)) + np.sqrt(squares.max())
+                far = rough > (last + unit * longest**2)[:, None]
+            else:
+                far = np.zeros(rough.shape, bool)
+            for i, x in enumerate(asked):
+                near = np.flatnonzero(~far[i])
+                exact = np.sqrt(((vectors[near] - x) ** 2).sum(axis=1))
+                order = np.lexsort((first[near], exact))[:most]
                 own = self.best[start + i]
-                own += [(float(d), v) for d, j in zip(exact[i], near[i]) for v in ids[j]]
+                own += [(float(exact[o]), v) for o in order for v in ids[near[o]]]
                 own.sort()
                 del own[most:]
 

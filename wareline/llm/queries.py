@@ -164,14 +164,15 @@ parts AS (
       lambda p: p <> '' AND NOT regexp_matches(p,
         '^(utm_[a-z]+|gclid|fbclid|ref|session_?id|sid)='))), '&') AS asked FROM bare),
 canon AS (
-  SELECT page_id, html, host || path || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END AS page,
+  SELECT page_id, html,
+    nullif(host || path || CASE WHEN asked <> '' THEN '?' || asked ELSE '' END, '') AS page,
     substr(md5(html), 1, 16) AS tag FROM parts),
 records AS (
   SELECT page_id * 2 AS record_id, page, page_id AS captured, true AS full_one, page_id FROM canon
   UNION ALL
   SELECT page_id * 2 + 1, page, page_id + 1000, false, page_id FROM canon),
 looked AS (
-  SELECT *, last_value(CASE WHEN full_one THEN record_id END IGNORE NULLS) OVER (
+  SELECT *, last_value(CASE WHEN full_one AND page IS NOT NULL THEN record_id END IGNORE NULLS) OVER (
     PARTITION BY page ORDER BY captured, record_id
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS refers_to FROM records),
 checked AS (

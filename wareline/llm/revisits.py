@@ -13,7 +13,7 @@ about as many captures each; a window runs inside one URL and range, and one
 small row for each of them carries its latest response to the later ranges. A
 URL with a third of all captures so is spread over many tasks.
 
-Records without URL or time are never joined: as revisits they come back as
+Records without URL (null, blank or nothing but a scheme) or time are never joined: as revisits they come back as
 ``no_response``. Repeated records each give a row. An empty table gives none.
 """
 
@@ -34,6 +34,7 @@ def canonical_url(url: Column) -> Column:
 
     Scheme, ``www.`` and ``m.``, the default port, the fragment, tracking
     parameters and a closing slash go; host in lower case; parameters sorted.
+    NULL where nothing is left, as of a blank text or a bare scheme.
     """
     bare = F.regexp_replace(F.trim(url), r"#.*$", "")
     bare = F.regexp_replace(bare, r"^[A-Za-z][A-Za-z0-9+.-]*://", "")
@@ -43,7 +44,8 @@ def canonical_url(url: Column) -> Column:
     asked = F.regexp_extract(bare, r"\?(.*)$", 1)
     kept = F.filter(F.split(asked, "&"), lambda p: (p != "") & ~p.rlike(TRACKING))
     asked = F.array_join(F.array_sort(kept), "&")
-    return F.concat(host, path, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise(F.lit("")))
+    whole = F.concat(host, path, F.when(asked != "", F.concat(F.lit("?"), asked)).otherwise(F.lit("")))
+    return F.when(whole != "", whole)
 
 
 def as_of(rows: DataFrame, full: Column) -> DataFrame:
