@@ -49,6 +49,42 @@ def test_end_tags_left_out():
     assert H.main_text("<article>" + "<div>" * 30000 + "</b></i></p></td>" * 30000 + "x", tree) == "x"
 
 
+WORDS = "one of the many lines that a page may hold, long enough to be a part of its text"
+
+
+def test_marks_that_name_more_than_one_thing():
+    tree = H.trained_tree()
+    article = f"<article><p>All of it</p><p>{WORDS}</p></article>"
+    whole = f"All of it\n{WORDS}"
+    for beside in ("<section class='article-comments'>{}</section>", "<div class=story-related>{}</div>",
+                   "<article class=comment>{}</article>", "<main id=replies>{}</main>",
+                   "<form class=search>{}</form>", "<form><p>{}</form>",
+                   "<form class=comments><article>{}</article></form>",
+                   "<form><aside><article>{}</article></aside></form>"):
+        assert H.main_text(article + beside.format(f"<p>{WORDS}</p>"), tree) == whole, beside
+    for around in ("<div class='layout with-sidebar'>{}</div>", "<form>{}</form>",
+                   "<form><div>{}</div></form>", "<div class='post has-comments'>{}</div>",
+                   "<form><div class=ad>x</div><div>{}</div></form>", "<div class=theme-header>{}</div>"):
+        assert H.main_text(around.format(article), tree) == whole, around
+    results = f"<div class='page-search-results has-sidebar'><p>{WORDS}</p><p>{WORDS}</p></div>"
+    assert H.main_text(results, tree) == f"{WORDS}\n{WORDS}"
+
+
+def test_links_go_on_over_blocks():
+    tree = H.trained_tree()
+    cards = f"<a href=/x><div><h3>A card of it</h3><p>{WORDS}</p></div></a>" * 3
+    assert {b.linked / b.words for b in H.blocks_of(cards)} == {1.0}
+    text = f"<p>{WORDS} {WORDS} {WORDS}</p>" * 2
+    plain = "\n".join([f"{WORDS} {WORDS} {WORDS}"] * 2)
+    assert H.main_text(text + cards, tree) == plain
+    assert H.main_text(text + "<p>Copyright of the owners, all rights are kept, ask before any use</p>",
+                       tree) == plain
+    # A link ends with its element, at the next link and at its end tag; a name is no link.
+    for page in ("<p><a href=x>a</p><p>b", "<p><a href=x>a<a name=y></p><p>b", "<a name=top><p>a</p><p>b",
+                 "<p><a href=x>a</a></p><p>b"):
+        assert [b.linked for b in H.blocks_of(page)][1:] == [0], page
+
+
 def test_extract_keeps_rows(spark):
     rows = [(1, "u", PAGE, "x", 1), (1, "u", PAGE, "x", 1), (2, None, None, "y", 2), (None, "v", "", "z", 3)]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")

@@ -4,8 +4,8 @@ A page is read once from left to right and cut into flat blocks of text at
 block elements. Each block knows its words, the share of them inside links,
 both figures of its neighbours, and two marks of its surroundings: whether it
 stands in an element meant for page furniture and whether it stands in the
-article. A decision tree trained on ``TRAINING``, a small labelled table, says
-which blocks are main text. Content that is never shown (scripts, styles,
+article. A decision tree trained on ``TRAINING``, a small labelled table, and on
+``marked_blocks`` says which blocks are main text. Content that is never shown (scripts, styles,
 markup, form controls, comments in the markup) makes no block.
 
 A null or empty page, and one without main text, gives an empty text. Broken
@@ -46,13 +46,21 @@ HINTS = re.compile(
     r"breadcrumbs?|foot(?:er)?|head(?:er)?|masthead|top-?bar|tool-?bar|cookies?|consent|gdpr|notices?|"
     r"alert|popup|modal|overlay|newsletter|subscribe|sign-?up|log-?in|comments?|disqus|replies|"
     r"repl(?:y|ies)|respond|share|sharing|social|related|recommend\w*|trending|copyright|legal|"
-    r"disclaimer|pagination|pager|tags|skip|search)(?![a-z])"
+    r"disclaimer|pagination|pager|tags|skip|search(?![_-]?results?))(?![a-z])"
 )
+#: What stands beside an article even where the mark names the article too.
+BESIDE = re.compile(
+    r"(?:^|[^a-z])(?:comments?|disqus|repl(?:y|ies)|respond|related|recommend\w*|trending|promo\w*|"
+    r"sponsor\w*|share|sharing)(?![a-z])"
+)
+#: Marks that say how a page is laid out, not what the element holds.
+LAYOUT = re.compile(r"(?<!\S)(?:has|with|without|no|layout|template|theme)(?:[_-]\S*)?(?!\S)")
 MAIN_HINTS = re.compile(
     r"(?:^|[^a-z])(?:article|article-?body|entry-?content|post-?content|post-?body|main-?content|story)"
     r"(?![a-z])"
 )
 ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+HREF = re.compile(r"(?<![\w-])href(?![\w-])", re.I)
 TAG_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
 PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^<>\"']*)>")
 TAG_REST = re.compile(r"[^>\"']*")
@@ -93,6 +101,8 @@ class _Open:
     furniture: bool
     article: bool
     hidden: bool
+    #: Furniture only because a form is open.
+    form: bool = False
 
 
 NOWHERE = _Open("", False, False, False)
@@ -104,7 +114,8 @@ class _Reader:
     stack: list[_Open] = field(default_factory=list)
     parts: list[str] = field(default_factory=list)
     linked: list[str] = field(default_factory=list)
-    links: int = 0
+    #: How many elements were open where the open link began; -1 if none is.
+    link: int = -1
     #: How many elements of a name are open.
     count: Counter = field(default_factory=Counter)
 
@@ -112,6 +123,8 @@ class _Reader:
         """Close the elements from ``at`` on."""
         self.count.subtract(o.name for o in self.stack[at:])
         del self.stack[at:]
+        if len(self.stack) < self.link:
+            self.link = -1
 
     def cut_to(self, name: str) -> None:
         """Close the innermost element of the name, if one is open, and all in it.
@@ -167,7 +180,7 @@ class _Reader:
             self.end_head()
         if not (self.stack and self.stack[-1].hidden):
             self.parts.append(text)
-            if self.links:
+            if self.link >= 0:
                 self.linked.append(text)
 
     def open(self, name: str, attributes: str) -> None:
@@ -177,10 +190,10 @@ class _Reader:
             self.add("\n")
             return
         if name in INLINE:
-            self.links += name == "a"
+            if name == "a":  # links do not nest; one may go on over blocks inside it
+                self.link = len(self.stack) if HREF.search(attributes) else -1
             return
         self.end_block()
-        self.links = 0
         self.end_left_open(name)
         if name in VOID:
             return
@@ -191,8 +204,16 @@ class _Reader:
                 "".join(m.group(2, 3, 4)[i] or "" for i in range(3))
                 for m in ATTRIBUTE.finditer(attributes)
             ).lower()
-        main = name in ("article", "main") or bool(hint and MAIN_HINTS.search(hint))
-        furniture = bool(name in FURNITURE or (hint and not main and HINTS.search(hint)))
+            hint = LAYOUT.sub(" ", hint)
+        beside = bool(hint and BESIDE.search(hint))
+        main = not beside and (
+            name in ("article", "main") or bool(hint and MAIN_HINTS.search(hint))
+        )
+        marked = beside or bool(hint and not main and HINTS.search(hint))
+        furniture = name in FURNITURE or marked
+        # A form may wrap a whole page: an article inside it is one all the same.
+        inherited = above.furniture and not (main and above.form)
+        form = furniture and name == "form" and not marked
         # A heading block of the article itself is no page header, a figure is part of it.
         if above.article and not above.furniture and name in ("header", "figure") and not (
             hint and HINTS.search(hint) and name != "header"
@@ -202,18 +223,20 @@ class _Reader:
         self.stack.append(
             _Open(
                 name,
-                above.furniture or furniture,
-                above.article or (main and not above.furniture),
+                inherited or furniture,
+                above.article or (main and not inherited),
                 above.hidden or name in HIDDEN,
+                (above.form or not above.furniture) and form
+                or above.form and inherited and not furniture,
             )
         )
 
     def close(self, name: str) -> None:
         if name in INLINE:
-            self.links = max(0, self.links - (name == "a"))
+            if name == "a":
+                self.link = -1
             return
         self.end_block()
-        self.links = 0
         self.cut_to(name)
 
 
@@ -334,6 +357,22 @@ TRAINING = np.array(
         [6, 0.0, 2, 1.0, 4, 0.0, 0, 0, 0],
         [8, 0.5, 6, 0.6, 7, 0.4, 0, 0, 0],
         [20, 0.9, 15, 0.8, 18, 0.9, 0, 0, 0],
+        # cards that are links as a whole, lists of teasers
+        [5, 1.0, 0, 0.0, 24, 1.0, 0, 0, 0],
+        [24, 1.0, 5, 1.0, 6, 1.0, 0, 0, 0],
+        [30, 1.0, 60, 0.0, 28, 1.0, 0, 0, 0],
+        [16, 1.0, 50, 0.1, 0, 0.0, 0, 0, 0],
+        [45, 0.9, 40, 1.0, 50, 0.9, 0, 0, 0],
+        # closing lines between or after links
+        [12, 0.0, 3, 1.0, 0, 0.0, 0, 0, 0],
+        [13, 0.0, 2, 1.0, 2, 1.0, 0, 0, 0],
+        [10, 0.1, 4, 1.0, 3, 0.0, 0, 0, 0],
+        [12, 0.0, 80, 0.0, 0, 0.0, 0, 0, 0],
+        [14, 0.1, 70, 0.0, 1, 1.0, 0, 0, 0],
+        [1, 0.0, 3, 0.0, 0, 0.0, 0, 0, 0],
+        [5, 0.0, 12, 0.0, 0, 0.0, 0, 0, 0],
+        [12, 0.0, 54, 0.0, 0, 0.0, 0, 0, 0],
+        [10, 0.0, 30, 0.0, 2, 0.0, 0, 0, 0],
         # the article: headings, short and long paragraphs, linked passages
         [9, 0.0, 6, 0.0, 10, 0.0, 0, 1, 1],
         [1, 0.0, 60, 0.0, 50, 0.0, 0, 1, 1],
@@ -361,6 +400,18 @@ TRAINING = np.array(
         [9, 0.0, 50, 0.0, 60, 0.0, 0, 0, 1],
         [4, 0.0, 45, 0.0, 55, 0.0, 0, 0, 1],
         [7, 0.0, 2, 1.0, 60, 0.0, 0, 0, 1],
+        [55, 0.0, 60, 0.0, 5, 1.0, 0, 0, 1],
+        [70, 0.0, 40, 0.0, 0, 0.0, 0, 0, 1],
+        [24, 0.0, 60, 0.0, 12, 0.0, 0, 0, 1],
+        [28, 0.1, 45, 0.0, 2, 1.0, 0, 0, 1],
+        [20, 0.0, 22, 0.0, 0, 0.0, 0, 0, 1],
+        [19, 0.0, 0, 0.0, 20, 0.0, 0, 0, 1],
+        [35, 0.1, 9, 0.0, 4, 0.0, 0, 0, 1],
+        [60, 0.0, 3, 1.0, 20, 0.0, 0, 0, 1],
+        [40, 0.0, 2, 1.0, 25, 0.0, 0, 0, 1],
+        [30, 0.0, 1, 1.0, 3, 0.0, 0, 0, 1],
+        [80, 0.0, 5, 1.0, 0, 0.0, 0, 0, 1],
+        [26, 0.1, 4, 0.8, 12, 0.0, 0, 0, 1],
         [12, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1],
         [40, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1],
     ]
@@ -415,9 +466,23 @@ def train_tree(x: np.ndarray, y: np.ndarray, depth: int = 6) -> Tree:
     )
 
 
+def marked_blocks() -> np.ndarray:
+    """Rows of the table for marked blocks: any length and link density, between any neighbours."""
+    words, share = (1, 12, 80), (0.0, 1.0)
+    beside = ((0, 0.0), (2, 1.0), (60, 0.0))
+    return np.array(
+        [
+            [w, s, *before, *after, furniture, article, article and not furniture]
+            for w in words for s in share for before in beside for after in beside
+            for furniture, article in ((1, 0), (1, 1), (0, 1))
+        ]
+    )
+
+
 def trained_tree() -> Tree:
-    x = TRAINING[:, :-1]
-    return train_tree(np.hstack([x[:, 6:], x[:, :6]]), TRAINING[:, -1])
+    table = np.vstack([TRAINING, marked_blocks()])
+    x = table[:, :-1]
+    return train_tree(np.hstack([x[:, 6:], x[:, :6]]), table[:, -1])
 
 
 def main_text(page: str, tree: Tree) -> str:
