@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 
 from wareline.functions import numeric as N, text as X
 from wareline.operators.analytics import product_analytics
-from wareline.operators.ordered import exact_median
+from wareline.operators.selection import exact_median
 from wareline.schema import NUMERIC_COLUMNS
 
 
@@ -43,11 +43,11 @@ def filter_products(
 
 def kpis(data: DataFrame) -> DataFrame:
     """Product count, mean rating, median price; NULL where there is nothing."""
-    median = exact_median(data, "discounted_price", "median_price")
+    median = exact_median(data, "discounted_price")
     return data.agg(
         F.count("*").alias("products"),
         N.exact_mean(F.col("rating")).alias("average_rating"),
-    ).withColumn("median_price", F.round(median.scalar(), 4))
+    ).withColumn("median_price", F.round(F.lit(median).cast("double"), 4))
 
 
 def value_counts(data: DataFrame, column: str) -> DataFrame:

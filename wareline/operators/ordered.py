@@ -9,8 +9,6 @@ result over from the earlier buckets.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 BUCKET_BITS = 20
@@ -206,35 +204,3 @@ def top_k(
     return finalists.withColumn(
         rank, F.row_number().over(W.partitionBy(*keys).orderBy(*order))
     ).where(F.col(rank) <= k)
-
-
-def exact_median(df: DataFrame, value: str, name: str, scale: int = 100) -> DataFrame:
-    """One row with the exact median of ``value``, NULL when there is none.
-
-    Equal values are counted first. What remains is walked in buckets of the
-    scaled value, so no buffer holds the whole column.
-    """
-    counts = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(value)
-        .agg(F.count("*").alias("__c"))
-        .withColumn("__o", F.floor(F.col(value) * scale).cast("bigint"))
-    )
-    # Values sharing a scaled ordinal are ordered by the value itself.
-    cells = counts.groupBy("__o").agg(F.sum("__c").alias("__cell"))
-    starts = running_total(cells, "__o", F.col("__cell"), "__start")
-    total = counts.agg(F.sum("__c").alias("__n"))
-    inside = W.partitionBy("__o").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    ranked = (
-        counts.join(starts.select("__o", "__start"), "__o")
-        .withColumn(
-            "__lo",
-            F.col("__start") + F.coalesce(F.sum("__c").over(inside), F.lit(0)),
-        )
-        .withColumn("__hi", F.col("__lo") + F.col("__c"))
-        .withColumn("__n", total.scalar())
-    )
-    first, last = F.floor((F.col("__n") - 1) / 2), F.floor(F.col("__n") / 2)
-    holds = [(F.col("__lo") <= at) & (F.col("__hi") > at) for at in (first, last)]
-    middle = [F.max(F.when(hold, F.col(value))) for hold in holds]
-    return ranked.agg((reduce(Column.__add__, middle) / 2).alias(name))
