@@ -12,6 +12,7 @@ from wareline.operators.browse import export_safe
 from wareline.operators.cleaning import ORD
 from wareline.operators.quality import preview
 from wareline.schema import PRODUCT_SCHEMA
+from wareline.sources.csv_ranges import read_cells
 
 _SPLIT = ["_path", "_start"]
 BYTE_ORDER_MARK = "\ufeff"
@@ -59,16 +60,21 @@ def _existing(load, path: str) -> DataFrame:
         raise
 
 
-def read_raw_products(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_raw_products(spark: SparkSession, path: str, whole_files: bool = False) -> DataFrame:
     """CSV as text cells plus the source ordinal ``_ord``.
 
-    Nothing is inferred. Quoted line breaks need ``multi_line``, which keeps
-    a file in one task; without them, switch it off to split large files.
+    Nothing is inferred. Files are cut into ranges even where quoted cells hold
+    line breaks; ``whole_files`` reads each file in one task instead, as for
+    lines that end in a bare carriage return.
     """
+    if not whole_files:
+        raw = _existing(lambda p: read_cells(spark, p, ORD), path)
+        cells = [c for c in raw.columns if c != ORD]
+        return raw.select(*[X.missing_to_null(F.col(f"`{c}`")).alias(c) for c in cells], ORD)
     reader = (
         spark.read.option("header", True)
         .option("inferSchema", False)
-        .option("multiLine", multi_line)
+        .option("multiLine", True)
         .option("escape", '"')
     )
     raw = _existing(reader.csv, path)
