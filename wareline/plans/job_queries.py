@@ -12,6 +12,7 @@ from wareline.schema import PRODUCT_COLUMNS
 from wareline.session import scratch_path
 from wareline.sources.store import CatalogStore, copy_snapshot
 from wareline.streaming.events import outcomes, start_event_stream
+from wareline.streaming.feed import copied_feed, copy_feed
 
 DROPS = 3
 
@@ -65,6 +66,15 @@ def _(spark, sf):
     return _streamed(spark, sf).page(700, 500).drop("changed_at")
 
 
+@query("followed_feed", with_ctes(EV, select="SELECT * FROM feed"))
+def _(spark, sf):
+    """The feed as a follower has copied it, version by version."""
+    store = _streamed(spark, sf)
+    place = scratch_path(spark, "follower")
+    copy_feed(store, f"{place}/feed", f"{place}/checkpoint").awaitTermination()
+    return copied_feed(spark, f"{place}/feed").drop("changed_at")
+
+
 # The gate refuses a batch with inverted prices, so those prices are absent.
 SOUND_SQL = """
 sound AS (

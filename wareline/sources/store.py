@@ -115,6 +115,16 @@ class CatalogStore:
                 raise
             return empty_table(self.spark, _MANIFEST)
 
+    def follow(self) -> DataFrame:
+        """The manifests as a stream: each version once, when it is published."""
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/published")
+        folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        return (
+            self.spark.readStream.schema(_MANIFEST)
+            .option("maxFileAge", "36500d")
+            .json(f"{self.root}/published")
+        )
+
     def current(self) -> Descriptor:
         """The newest published version."""
         row = self.manifests().orderBy(F.desc("version")).first()
@@ -133,9 +143,9 @@ class CatalogStore:
             return empty_table(self.spark, _STATE[name])
         return self.spark.read.schema(_STATE[name]).parquet(self._path(name, part))
 
-    def _parts(self, name: str, wanted) -> DataFrame:
-        """The parts of a log that the manifests ``wanted`` name, and no others."""
-        named = self.manifests().where(wanted & (F.col(name) != "")).select("version", name)
+    def parts(self, name: str, manifests: DataFrame) -> DataFrame:
+        """The parts of a log that some manifests name, and no others."""
+        named = manifests.where(F.col(name) != "").select("version", name)
         paths = [self._path(name, row[name]) for row in named.orderBy("version").collect()]
         if not paths:
             return empty_table(self.spark, _LOGS[name])
@@ -143,7 +153,7 @@ class CatalogStore:
 
     def log(self, name: str, at: Descriptor) -> DataFrame:
         """An append-only table up to a published version."""
-        return self._parts(name, F.col("version") <= at.version)
+        return self.parts(name, self.manifests().where(F.col("version") <= at.version))
 
     def state(self, at: Descriptor | None = None) -> CatalogState:
         at = at or self.current()
@@ -164,7 +174,7 @@ class CatalogStore:
         hold some of these are opened.
         """
         wanted = (F.col("revision") > after) & (F.col("first_change") < upto)
-        return self._parts("changes", wanted).where(
+        return self.parts("changes", self.manifests().where(wanted)).where(
             (F.col("change_id") > after) & (F.col("change_id") <= upto)
         )
 
