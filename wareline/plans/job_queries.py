@@ -13,17 +13,17 @@ from wareline.session import scratch_path
 from wareline.sources.store import CatalogStore, copy_snapshot
 from wareline.streaming.events import outcomes, start_event_stream
 from wareline.streaming.feed import copied_feed, copy_feed
+from wareline.streaming.gate import gated_outcomes, start_gate
 
 DROPS = 3
 
 
-def _streamed(spark, sf) -> CatalogStore:
-    """Events arrive as JSON lines in a few drops and pass through a stream.
+def _in_drops(spark, sf, place: str):
+    """Events arrive as JSON lines in a few drops; yields the stream of each.
 
     Each drop holds a range of ordinals and is one micro-batch, so the
     arrival order of the stream is the order of the events.
     """
-    place = scratch_path(spark, "stream")
     lines = event_lines(D.product_events(spark, sf)).select("ord", "value")
     low, high = lines.agg(F.min("ord"), F.max("ord")).first()
     width = (high - low) // DROPS + 1
@@ -31,11 +31,16 @@ def _streamed(spark, sf) -> CatalogStore:
         start = low + drop * width
         part = lines.where(F.col("ord").between(start, start + width - 1))
         part.write.mode("append").parquet(f"{place}/in")
-        arriving = spark.readStream.schema(lines.schema).parquet(f"{place}/in")
-        stream = start_event_stream(
+        yield spark.readStream.schema(lines.schema).parquet(f"{place}/in")
+
+
+def _streamed(spark, sf) -> CatalogStore:
+    """The catalog after the events have passed through a stream, drop by drop."""
+    place = scratch_path(spark, "stream")
+    for arriving in _in_drops(spark, sf, place):
+        start_event_stream(
             arriving, f"{place}/catalog", f"{place}/checkpoint"
-        )
-        stream.awaitTermination()
+        ).awaitTermination()
     return CatalogStore(spark, f"{place}/catalog")
 
 
@@ -54,6 +59,21 @@ def _(spark, sf):
     return outcomes(_streamed(spark, sf)).drop("v")
 
 
+@query(
+    "gated_stream",
+    with_ctes(EV, select="SELECT ord, event_id, status, original_status FROM outcomes"),
+)
+def _(spark, sf):
+    """The same outcomes from a stream that keeps ids and versions as its state.
+
+    The stream stops after every drop and starts again from its checkpoint.
+    """
+    place = scratch_path(spark, "gate")
+    for arriving in _in_drops(spark, sf, place):
+        start_gate(arriving, f"{place}/log", f"{place}/checkpoint").awaitTermination()
+    return gated_outcomes(spark, f"{place}/log")
+
+
 @query(
     "published_feed_page",
     with_ctes(

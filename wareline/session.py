@@ -16,6 +16,11 @@ RUNTIME_DEFAULTS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A deep page must become a distributed sort, not one task's heap.
     "spark.sql.execution.topKSortFallbackThreshold": "100000",
+    # Keyed stream state grows with the keys ever seen: on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
