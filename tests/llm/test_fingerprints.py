@@ -1,4 +1,9 @@
 import hashlib
+import re
+import zlib
+from collections import Counter
+
+import pytest
 
 from tests.llm.fixtures import SCHEMA, documents
 from wareline.llm import fingerprints as P
@@ -41,3 +46,55 @@ def test_one_row_no_rows_and_no_ids(spark):
     nameless = spark.createDataFrame([(None, "ab"), (None, "cd")], "doc_id long, text string")
     assert P.compare_with_edits(nameless, words).count() == 2
     assert P.fingerprint(documents(spark), words).count() == documents(spark).count()
+
+
+@pytest.mark.parametrize("gathered", [1, 50, P.GATHERED])
+def test_frequencies_count_every_term_exactly(spark, gathered):
+    docs = documents(spark, extra=[(20 + i, f"All w{i} w{i // 2} w{i // 9} all") for i in range(90)])
+    want = Counter()
+    for r in docs.collect():
+        terms = set(re.findall(rb"[0-9a-z\x80-\xff]+", (r.text or "").lower().encode()))
+        want.update({zlib.crc32(term) for term in terms})
+    got = P.document_frequencies(docs, gathered=gathered).collect()
+    assert {r.term: r.n for r in got} == want and len(got) == len(want)
+
+
+def test_rare_terms_never_enter_the_lexicon(spark):
+    """Many different rare words, which crowded slots would add up."""
+    rare = [(100 + i, " ".join(f"r{i}x{j}" for j in range(3000)) + f" c{i % 40}") for i in range(400)]
+    words = P.lexicon(spark.createDataFrame(rare, "doc_id long, text string"))
+    assert set(words.terms.tolist()) == {zlib.crc32(f"c{i}".encode()) for i in range(40)}
+
+
+def test_fingerprints_and_likeness_against_brute_force(spark):
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(1, 60))) for i in range(1, 120)] + [(0, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    terms_of = {i: {zlib.crc32(w.encode()) for w in t.split()} for i, t in rows}
+    counts = Counter(h for terms in terms_of.values() for h in terms)
+    band = {h for h, n in counts.items() if max(2.0, 0.002 * 120) <= n <= 0.5 * 120}
+
+    def mixed(x):
+        x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) % 2**64
+        return ((x ^ (x >> 27)) * 0x94D049BB133111EB) % 2**64 >> 32
+
+    limits = [int(r * 2**32) for r, n in zip(P.RATES, P.PARTS) for _ in range(n)]
+    seeds = [(k * 0x9E3779B97F4A7C15) % 2**64 for k in range(1, P.SUBSETS + 1)]
+
+    def parts(terms):
+        chosen = sorted(terms & band)
+        return [tuple(h for h in chosen if mixed(h ^ s) < limit) for s, limit in zip(seeds, limits)]
+
+    def alike(a, b):
+        if a & band == b & band and (a & band or a == b):
+            return 1.0
+        pairs = [(x, y) for x, y in zip(parts(a), parts(b)) if x or y]
+        return sum(x == y for x, y in pairs) / len(pairs) if pairs else 0.0
+
+    got = {r.doc_id: r for r in P.compare_with_edits(docs, P.lexicon(docs, most=0.5)).collect()}
+    ids = sorted(got, reverse=True)
+    for n, i in enumerate(ids):
+        assert got[i].near_next == alike(terms_of[i], terms_of[ids[(n + 1) % len(ids)]])
+    for i in ids[:40]:
+        for j in ids:
+            same = terms_of[i] & band == terms_of[j] & band
+            assert not terms_of[j] & band or (got[i].fingerprint == got[j].fingerprint) == same

@@ -7,10 +7,10 @@ randomised parts of the lexicon, the parts having several sampling rates. Two
 texts are as alike as the share of those parts, empty in both left out, that
 hash the same.
 
-Terms are lower-cased words, known by a 32-bit hash. Document frequencies are
-counted in ``SLOTS`` slots by that hash; a slot holds all rare terms that fall
-into it, which adds about the same small frequency at any size, well below the
-band. Texts without a lexicon term are known by their terms, so equal texts
+Terms are lower-cased words, known by a 32-bit hash, and every hash has its
+own count. A term of the lexicon stands in a share of at least ``LEAST_SHARE``
+of all documents, so there are at most (mean distinct terms of a text) /
+``LEAST_SHARE`` of them, however many documents there are. Texts without a lexicon term are known by their terms, so equal texts
 always have equal fingerprints. A null text counts as empty. Rows come back
 one for one; rows that repeat an id are ordered by their texts, and rows
 without an id stand last.
@@ -31,7 +31,8 @@ from pyspark.sql import types as T
 
 from wareline.llm.common import map_batches, range_borders, range_of, texts_of
 
-SLOTS = 1 << 20
+#: Hashes a task gathers before it adds them up and passes them on.
+GATHERED = 1 << 22
 #: Band of document frequency, as shares of all documents.
 LEAST_SHARE = 0.002
 MOST_SHARE = 0.2
@@ -49,67 +50,68 @@ def term_hashes(text: str) -> np.ndarray:
     return np.unique(np.fromiter(map(zlib.crc32, terms), np.uint32, len(terms)))
 
 
-def document_frequencies(docs: DataFrame, text_col="text", slots: int = SLOTS) -> DataFrame:
-    """(slot, n): in how many documents a term of the slot occurs.
+def document_frequencies(docs: DataFrame, text_col="text", gathered: int = GATHERED) -> DataFrame:
+    """(term, n): in how many documents each term hash occurs.
 
-    Each task adds up its documents before anything is shuffled.
+    Each task adds up ``gathered`` hashes at a time, and Spark what the task
+    passes on, before anything is shuffled; no task holds all terms.
     """
 
+    def counted(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        terms, counts = np.unique(np.concatenate(parts), return_counts=True)
+        for start in range(0, len(terms), 65536):
+            part = slice(start, start + 65536)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(terms[part].astype(np.int64)), pa.array(counts[part].astype(np.int64))],
+                names=["term", "n"],
+            )
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(slots, np.int64)
+        parts, held = [], 0
         for batch in batches:
             for text in texts_of(batch.column(0)):
-                counts[np.unique(term_hashes(text) % np.uint32(slots))] += 1
-        at = np.flatnonzero(counts)
-        for start in range(0, len(at), 65536):
-            part = at[start : start + 65536]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), pa.array(counts[part].astype(np.int32))],
-                names=["slot", "n"],
-            )
+                parts.append(term_hashes(text))
+                held += len(parts[-1])
+                if held >= gathered:
+                    yield from counted(parts)
+                    parts, held = [], 0
+        if parts:
+            yield from counted(parts)
 
-    rows = docs.select(F.col(text_col)).mapInArrow(run, "slot int, n int")
-    return rows.groupBy("slot").agg(F.sum("n").alias("n"))
+    rows = docs.select(F.col(text_col)).mapInArrow(run, "term long, n long")
+    return rows.groupBy("term").agg(F.sum("n").alias("n"))
 
 
 @dataclass
 class Lexicon:
-    """One bit for each slot: whether its terms lie within the band."""
+    """The sorted term hashes within the band."""
 
-    bits: bytes
-    slots: int
+    terms: np.ndarray
 
-    def mask(self) -> np.ndarray:
-        return np.unpackbits(np.frombuffer(self.bits, np.uint8))[: self.slots].astype(bool)
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """Those of the sorted hashes that belong to the lexicon."""
+        if not len(self.terms):
+            return hashes[:0]
+        at = np.searchsorted(self.terms, hashes)
+        return hashes[self.terms[np.minimum(at, len(self.terms) - 1)] == hashes]
 
 
 def lexicon(
-    docs: DataFrame,
-    text_col="text",
-    least: float = LEAST_SHARE,
-    most: float = MOST_SHARE,
-    slots: int = SLOTS,
+    docs: DataFrame, text_col="text", least: float = LEAST_SHARE, most: float = MOST_SHARE
 ) -> Lexicon:
-    """The band of the corpus; the driver gets at most ``slots`` slot numbers."""
+    """The band of the corpus; only its hashes reach the driver."""
     total = docs.count()
     low, high = max(2.0, least * total), max(2.0, most * total)
-    band = document_frequencies(docs, text_col, slots).where(F.col("n").between(low, high))
-    found = np.zeros(slots, bool)
-    # Packed into rows of slot numbers: slots / 1024 rows at most.
-    for row in (
-        band.groupBy((F.col("slot") % 1024).alias("part"))
-        .agg(F.collect_list("slot").alias("slots"))
-        .collect()
-    ):
-        found[row.slots] = True
-    return Lexicon(np.packbits(found).tobytes(), slots)
+    band = document_frequencies(docs, text_col).where(F.col("n").between(low, high))
+    found = band.select(F.col("term")).toArrow().column(0).to_numpy()
+    return Lexicon(np.sort(found.astype(np.uint32)))
 
 
 class Printer:
     """Fingerprints under one lexicon."""
 
     def __init__(self, words: Lexicon):
-        self.mask = words.mask()
+        self.words = words
         seeds = np.arange(1, SUBSETS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
         rates = np.repeat(RATES, PARTS)
         self.seeds, self.limits = seeds, (rates * 2.0**32).astype(np.uint64)
@@ -117,7 +119,7 @@ class Printer:
     def signature(self, text: str) -> tuple[str, list[str]]:
         """The whole hash and one for each part of the lexicon, "" where it is empty."""
         every = term_hashes(text)
-        terms = every[self.mask[every % np.uint32(len(self.mask))]]
+        terms = self.words.of(every)
         if not len(terms):
             digest = hashlib.blake2b(every.tobytes(), digest_size=8, person=b"no terms")
             return digest.hexdigest(), [""] * SUBSETS
