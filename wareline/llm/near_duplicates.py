@@ -414,7 +414,13 @@ def components(
 def keep_one(
     docs: DataFrame, words: int = 5, percent: int = 80, id_col="doc_id", text_col="text"
 ) -> DataFrame:
-    """One document of every component, with all columns; one row of a repeated id."""
+    """One document of every component, with all columns.
+
+    Rows that repeat an id are one document, so one of them stays: the one with
+    the least text, then the least of the other columns as JSON. Which one it
+    is depends neither on partitions nor on tasks that run again. Only rows of
+    repeated ids are gathered for that; rows without an id all stay.
+    """
     gone = (
         components(docs, words, percent, id_col, text_col)
         .where("NOT kept")
@@ -422,5 +428,19 @@ def keep_one(
         .distinct()
     )
     rest = docs.join(gone, docs[id_col].cast("long") == gone["__gone"], "left_anti")
-    named = rest.where(F.col(id_col).isNotNull()).dropDuplicates([id_col])
-    return named.unionByName(rest.where(F.col(id_col).isNull()))
+    repeated = (
+        docs.where(F.col(id_col).isNotNull())
+        .groupBy(F.col(id_col).alias("__repeated"))
+        .count()
+        .where(F.col("count") > 1)
+        .select("__repeated")
+    )
+    same_id = rest[id_col] == repeated["__repeated"]
+    row = F.struct(*[F.col(name) for name in docs.columns])
+    one = (
+        rest.join(repeated, same_id, "left_semi")
+        .groupBy(F.col(id_col).alias("__repeated"))
+        .agg(F.min_by(row, F.struct(F.col(text_col), F.to_json(row))).alias("__row"))
+        .select("__row.*")
+    )
+    return rest.join(repeated, same_id, "left_anti").unionByName(one)
