@@ -65,16 +65,6 @@ def test_keep_one(spark):
     assert N.components(empty).count() == N.keep_one(empty).count() == 0
 
 
-def test_survivor_of_a_repeated_id_is_fixed(spark):
-    b, c = " ".join(words(2, 40)), " ".join(words(3, 40))
-    rows = [(7, c, "x"), (7, b, "y"), (7, b, "x"), (9, None, "n"), (9, "", "e"), (None, b, "q"), (None, b, "q")]
-    for order in (rows, rows[::-1]):
-        docs = spark.createDataFrame(order, "doc_id long, text string, n_shingles string")
-        kept = [tuple(r) for r in N.keep_one(docs.repartition(3)).collect()]
-        want = [(7, min(b, c), "x"), (9, None, "n"), (None, b, "q"), (None, b, "q")]
-        assert sorted(kept, key=repr) == sorted(want, key=repr)
-
-
 def test_repeated_ids_are_one_document(spark):
     a, b = " ".join(words(1, 40)), " ".join(words(2, 40))
     docs = spark.createDataFrame([(1, a), (5, a), (5, b), (3, b)], "doc_id long, text string")
