@@ -106,6 +106,28 @@ def test_no_term_is_left_out_however_many_there_are(spark):
     } and not hits
 
 
+def test_an_index_takes_few_bytes_a_posting(spark, tmp_path):
+    docs = [(f"d{i}", " ".join(f"t{i}x{j}" for j in range(600))) for i in range(200)]
+    rows, _ = frames(spark, docs, [(1, "t1x1")])
+    index = P.fit_postings(rows, S.searchable(), (), f"{tmp_path}/index")
+    held = index.table("postings").count()
+    assert held == 200 * 1199
+    size = sum(p.stat().st_size for p in (tmp_path / "index").rglob("*.parquet"))
+    # Spelled once, without a weight and an id at each posting.
+    assert size < 20 * held and "w" not in index.table("entries").columns
+
+
+def test_rows_of_one_id_in_several_blocks_count_together(spark, small):
+    text = " ".join(f"w{i}" for i in range(40))
+    docs = [("twice", text)] * 2 + corpus(60, 3)
+    rows, asked = frames(spark, docs, [(1, "w3 w4")])
+    index = S.fit_lexical(rows.repartition(8), ())
+    (row,) = index.table("blocks").where("product_id = 'twice'").select("unit", "repeated").distinct().collect()
+    assert row.repeated
+    hits = P.scores_at_least(index, P.query_weights(index, asked), 0.0).where("product_id = 'twice'")
+    assert hits.count() == 1
+
+
 def test_empty_corpus_and_empty_texts(spark):
     rows, asked = frames(spark, [], [(1, "anything d1")])
     assert S.lexical_search(S.fit_lexical(rows, ()), asked).isEmpty()
