@@ -9,7 +9,7 @@ from wareline.plans.batch import run_batch
 from wareline.plans.event_queries import EV, STATE_SQL, event_lines
 from wareline.plans.registry import query, with_ctes
 from wareline.schema import PRODUCT_COLUMNS
-from wareline.session import scratch_path
+from wareline.session import scratch_path, written
 from wareline.sources.store import CatalogStore, copy_snapshot
 from wareline.streaming.events import outcomes, start_event_stream
 from wareline.streaming.feed import copied_feed, copy_feed
@@ -24,7 +24,8 @@ def _in_drops(spark, sf, place: str):
     Each drop holds a range of ordinals and is one micro-batch, so the
     arrival order of the stream is the order of the events.
     """
-    lines = event_lines(D.product_events(spark, sf)).select("ord", "value")
+    # Written once, not made again for every drop.
+    lines = written(event_lines(D.product_events(spark, sf)).select("ord", "value"), "lines")
     low, high = lines.agg(F.min("ord"), F.max("ord")).first()
     width = (high - low) // DROPS + 1
     for drop in range(DROPS):
