@@ -141,3 +141,17 @@ def test_share_of_rows_without_known_terms(spark):
     known = P.corpus_terms(spark.createDataFrame([("a blue cup",)], "t string"), F.col("t"))
     assert P.unknown_share(known, names, "n").first()[0] == 0.75
     assert P.unknown_share(known, names.limit(0), "n").first()[0] is None
+
+
+def test_pairs_are_looked_up_only_where_no_word_is_known(spark, monkeypatch):
+    asked = []
+    whole = P._known_rows
+    monkeypatch.setattr(P, "_known_rows", lambda rows, terms: asked.append(rows.count()) or whole(rows, terms))
+    names = spark.createDataFrame([("blue cup",), ("red kettle",), ("zz yy",), ("one",), (None,)], "n string")
+    known = spark.createDataFrame([("blue",), ("red kettle",)], "term string")
+    assert P.unknown_share(known, names, "n").first()[0] == 0.6
+    assert asked == [5, 2]
+    known = spark.createDataFrame([(w,) for w in ("blue", "red", "zz")], "term string")
+    assert P.unknown_share(known, names, "n").first()[0] == 0.4
+    assert P.unknown_share(known, names.where("n = 'blue cup'"), "n").first()[0] == 0.0
+    assert asked == [5, 2, 5, 1]
