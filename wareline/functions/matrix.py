@@ -24,28 +24,21 @@ def flat_rows(index_lists, value_lists):
     )
 
 
-def sparse_product(starts, columns, values, dense, step: int = 1 << 18):
-    """Sparse rows times a dense matrix, a bounded number of entries at a time."""
+def sparse_product(starts, columns, values, dense):
+    """Sparse rows times a dense matrix, row by row, so that a row's share of
+    the matrix stays in the processor's cache."""
     out = np.zeros((len(starts) - 1, dense.shape[1]))
-    rows = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    for low in range(0, len(columns), step):
-        part = slice(low, low + step)
-        here = rows[part]
-        first = np.flatnonzero(np.diff(here, prepend=-1))
-        scaled = dense[columns[part]] * values[part, None]
-        out[here[first]] += np.add.reduceat(scaled, first, axis=0)
+    for row, (low, high) in enumerate(zip(starts[:-1], starts[1:])):
+        if high > low:
+            out[row] = values[low:high] @ dense.take(columns[low:high], axis=0)
     return out
 
 
-def transposed_product(starts, columns, values, dense, width, step: int = 1 << 18):
-    """The transpose of sparse rows times a dense matrix."""
-    out = np.zeros((width, dense.shape[1]))
-    rows = np.repeat(np.arange(len(starts) - 1), np.diff(starts))
-    for low in range(0, len(columns), step):
-        part = slice(low, low + step)
-        order = np.argsort(columns[part], kind="stable")
-        sorted_columns = columns[part][order]
-        first = np.flatnonzero(np.diff(sorted_columns, prepend=-1))
-        scaled = dense[rows[part][order]] * values[part][order, None]
-        out[sorted_columns[first]] += np.add.reduceat(scaled, first, axis=0)
-    return out
+def add_transposed_product(out, starts, columns, values, dense):
+    """Add the transpose of sparse rows times a dense matrix to ``out``.
+
+    A row holds a column once at most.
+    """
+    for row, (low, high) in enumerate(zip(starts[:-1], starts[1:])):
+        if high > low:
+            out[columns[low:high]] += values[low:high, None] * dense[row]

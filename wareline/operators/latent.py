@@ -7,9 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 
 from wareline.functions.matrix import (
+    add_transposed_product,
     flat_rows,
     sparse_product,
-    transposed_product,
     unit_rows,
 )
 from wareline.operators.features import sparse_parts
@@ -17,8 +17,8 @@ from wareline.operators.features import sparse_parts
 # Power iterations and spare directions of the usual
 # randomised decomposition.
 PASSES, SPARE = 5, 10
-# Tasks per pass, and terms per block of their partial sums.
-PARTIALS, BLOCK = 2048, 512
+# Tasks per core and at most in a pass, and terms per block of their partial sums.
+TASKS_PER_CORE, PARTIALS, BLOCK = 2, 2048, 512
 
 
 def project(starts, terms, weights, axes):
@@ -41,7 +41,7 @@ def _gram_times(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
         for batch in batches:
             flat = flat_rows(batch["terms"], batch["weights"])
             here = sparse_product(*flat, shared.value)
-            total += transposed_product(*flat, here, size)
+            add_transposed_product(total, *flat, here)
         for block in range(0, size, BLOCK):
             yield pd.DataFrame(
                 {"block": [block], "total": [total[block : block + BLOCK].tobytes()]}
@@ -65,7 +65,9 @@ def latent_axes(df: DataFrame, vector: str, size: int, width: int, seed: int = 4
     only holds ``size`` (at most the vocabulary cap) times ``width`` numbers.
     """
     terms, weights = sparse_parts(vector)
-    rows = df.select(terms.alias("terms"), weights.alias("weights")).coalesce(PARTIALS)
+    # Each task hands on a sum of the same size, so their number follows the cores.
+    tasks = min(PARTIALS, TASKS_PER_CORE * df.sparkSession.sparkContext.defaultParallelism)
+    rows = df.select(terms.alias("terms"), weights.alias("weights")).coalesce(tasks)
     spread = min(width + SPARE, size)
     basis = np.random.default_rng(seed).standard_normal((size, spread))
     basis = np.linalg.qr(basis)[0]
