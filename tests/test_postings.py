@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wareline.operators import postings as P
 from wareline.operators import search as S
+from wareline.operators.features import add_words
 
 DOC = "product_id string, product_name string, category string, about_product string"
 
@@ -117,6 +118,47 @@ def test_an_index_takes_few_bytes_a_posting(spark, tmp_path):
     assert size < 20 * held and "w" not in index.table("entries").columns
 
 
+def test_terms_cross_the_network_packed(spark):
+    docs = corpus(400, 7)
+    rows, _ = frames(spark, docs, [(1, "w1")])
+    worded = add_words(rows.coalesce(2), F.col("product_name"))
+    packed = P.packed_terms(worded, "product_id", 4).where("size IS NULL")
+    moved, held = packed.agg(
+        F.sum(F.length("words") + F.length("places")), F.sum(F.element_at("numbers", 2))
+    ).first()
+    assert held == sum(len({*words, *zip(words, words[1:])}) for words in (t.split() for _, t in docs))
+    # Spelt out, a pair alone takes more than 10.
+    assert moved < 8 * held
+
+
+def test_runs_and_chunks_of_any_length_give_the_same_entries(spark, monkeypatch):
+    rows, _ = frames(spark, corpus(120, 5), [(1, "w1")])
+    want = Counter()
+    for _, text in corpus(120, 5):
+        words = text.split()
+        want.update({*words, *(f"{a} {b}" for a, b in zip(words, words[1:]))})
+    for chunk, run in ((1 << 21, 1 << 22), (500, 300)):
+        monkeypatch.setattr(P, "CHUNK_WORDS", chunk)
+        monkeypatch.setattr(P, "RUN_POSTINGS", run)
+        monkeypatch.setattr(P, "BLOCK_DOCS", 8)
+        index = S.fit_lexical(rows.coalesce(3), ())
+        terms = index.table("terms").collect()
+        assert {r.term: r.df for r in terms} == want and len(terms) == len(want)
+        held = index.table("postings").groupBy("term_id").count().collect()
+        assert {r.term_id: r["count"] for r in held} == {r.term_id: r.df for r in terms}
+        assert index.table("postings").groupBy("term_id", "block", "at").count().where("count > 1").isEmpty()
+
+
+def test_queries_in_many_shares_find_the_same(spark, small, monkeypatch):
+    rows, asked = frames(spark, corpus(200, 6), [(n, f"w{n} w{n + 1} w{2 * n}") for n in range(1, 25)])
+    index = S.fit_lexical(rows, ())
+    weights = P.query_weights(index, asked).cache()
+    once = {(r.query_id, r.product_id): r.raw for r in P.scores_at_least(index, weights, 0.05).collect()}
+    monkeypatch.setattr(P, "SHARE_TERMS", 7)
+    shared = {(r.query_id, r.product_id): r.raw for r in P.scores_at_least(index, weights, 0.05).collect()}
+    assert once and shared == pytest.approx(once)
+
+
 def test_rows_of_one_id_in_several_blocks_count_together(spark, small):
     text = " ".join(f"w{i}" for i in range(40))
     docs = [("twice", text)] * 2 + corpus(60, 3)
