@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.test_batch_and_stream import event, lines_of
+from wareline.operators import events as E
 from wareline.operators.events import CatalogState, parse_events, resolve_events, valid_events
 from wareline.streaming import gate as G
 
@@ -102,6 +103,19 @@ def test_ids_are_judged_together_not_in_a_call_each():
     assert stored == {("a",): ("x",), ("b",): ("y",), ("c",): ("v",)}
 
 
+def test_a_line_is_whole_as_the_type_of_its_value_says(spark):
+    lines = [
+        '{"a":1}', ' \t\r\n{"a":1} ', "{}", "{", "}", "[{}]", '"{"', "1", "null", "{} {}", "{},{}", "{},", "],[",
+        "] {", '{"a":1,"a":2}', "\u00a0{}", "\x0b{}", "{}x", "{}]", "[]", "true", "\ufeff{}", "{}\n{}", "// {}", ",{}",
+    ]
+    document = F.try_parse_json(F.concat(F.lit("["), F.col("value"), F.lit("]")))
+    rows = spark.createDataFrame([(line,) for line in lines], "value string").withColumn("_doc", document)
+    kinds = [F.schema_of_variant(F.try_variant_get("_doc", path, "variant")) for path in ("$[0]", "$[1]")]
+    want = F.coalesce(kinds[0].startswith("OBJECT"), F.lit(False)) & kinds[1].isNull()
+    plan = rows.select("value", E._is_whole_object().alias("got"), want.alias("want"))
+    assert all(r.got == r.want for r in plan.collect()) and {r.got for r in plan.collect()} == {True, False}
+
+
 class Table(dict):
     """A state map that counts its calls."""
 
